@@ -39,8 +39,8 @@ def map_labels(code: Column, labels: Mapping[int, str] = LEVELS) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Share of ``whole`` in percent, two decimals; null when ``whole`` is 0."""
-    return F.round(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 2)
+    """Share of ``whole`` in percent, two decimals, ties to even; null when ``whole`` is 0."""
+    return F.rint(part / F.nullif(whole, F.lit(0)) * 100 * 100) / 100
 
 
 def json_record(df: DataFrame, name: str = "value") -> DataFrame:

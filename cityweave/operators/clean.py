@@ -56,16 +56,19 @@ def bbox_assign(
 
 
 def parse_records(lines: DataFrame, schema: StructType, column: str = "value", bad: str = "_corrupt_record") -> DataFrame:
-    """JSON text -> columns of ``schema``; ``bad`` holds the text of records that do not parse."""
+    """JSON text -> columns of ``schema``; ``bad`` holds the text of records that do not parse.
+
+    The record comes out of a generator, which later filters are not pushed through: a filter
+    on many columns would otherwise parse the text once per column.
+    """
     wide = StructType(list(schema.fields)).add(bad, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
-    rest = [field(c) for c in lines.columns if c != column]
-    parsed = lines.select(*rest, F.from_json(field(column), wide, options).alias("_record"), field(column).alias("_text"))
-    unread = F.when(
-        F.col("_text").isNull() | (F.trim("_text") == ""), F.coalesce("_text", F.lit(""))
-    ).otherwise(F.col("_record")[bad])
-    return parsed.select(
-        *rest, *[F.col("_record")[f.name].alias(f.name) for f in schema], unread.alias(bad)
+    rest = [c for c in lines.columns if c != column]
+    record = F.from_json(field(column), wide, options)
+    parsed = lines.select(*map(field, rest), field(column).alias("_text"), F.inline(F.array(record)))
+    empty = F.col("_text").isNull() | (F.trim("_text") == "")
+    return parsed.withColumn(bad, F.when(empty, F.coalesce("_text", F.lit(""))).otherwise(field(bad))).select(
+        *[field(c) for c in (*rest, *schema.names, bad)]
     )
 
 

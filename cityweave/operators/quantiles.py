@@ -18,122 +18,153 @@ from pyspark.sql import functions as F
 
 from cityweave.functions.columns import number
 
-EXACT_ROWS = 1_000_000
-ACCURACY = 10_000
+# Up to this many rows a column goes through the built-in aggregate, or a fence is read off.
+EXACT_ROWS = 100_000
+ACCURACY = 2_000
 
 
 @dataclass
-class _Search:
-    """A rank looked for among the ``inside`` rows strictly between ``low`` and ``high``."""
+class _Fence:
+    """The rows of a column strictly between ``low`` and ``high``, and the ranks sought there.
+
+    ``below`` rows come before them; ``inside`` rows are between, None as long as unknown.
+    """
 
     column: str
-    rank: int
-    inside: int
+    wanted: list  # ranks among all rows; shares 0..1 before the rows are counted
     low: float | None = None
     high: float | None = None
     below: int = 0
-    found: float | None = None
+    inside: int | None = None
 
-    def holds(self, value: Column) -> Column:
-        test = F.lit(True)
+    def value(self, df: DataFrame) -> Column:
+        """The column where it lies between the fences, else null."""
+        value = number(df, self.column)
+        keep = F.lit(True)
         if self.low is not None:
-            test = test & (value > self.low)
+            keep = keep & (value > self.low)
         if self.high is not None:
-            test = test & (value < self.high)
-        return test
-
-    def step(self, left: float, right: float, before: int, at_left: int, between: int, at_right: int) -> None:
-        rank = self.rank - self.below
-        if rank < before:
-            self.high, self.inside = left, before
-        elif rank < before + at_left:
-            self.found = left
-        elif rank < before + at_left + between:
-            self.low, self.high = left, right
-            self.below += before + at_left
-            self.inside = between
-        elif rank < before + at_left + between + at_right:
-            self.found = right
-        else:
-            skipped = before + at_left + between + at_right
-            self.low = right
-            self.below += skipped
-            self.inside -= skipped
-
-
-def _narrow(df: DataFrame, searches: list[_Search]) -> None:
-    guesses = []
-    for i, s in enumerate(searches):
-        value = number(df, s.column)
-        share = (s.rank - s.below) / max(s.inside - 1, 1)
-        margin = 2.0 / ACCURACY
-        ends = [max(0.0, share - margin), min(1.0, share + margin)]
-        guesses.append(F.percentile_approx(F.when(s.holds(value), value), ends, ACCURACY).alias(f"g{i}"))
-    fences = df.agg(*guesses).first()
-    tallies = []
-    for i, s in enumerate(searches):
-        value = number(df, s.column)
-        left, right = fences[i]
-        inside = s.holds(value)
-        tallies += [
-            F.count(F.when(inside & (value < left), 1)),
-            F.count(F.when(value == left, 1)),
-            F.count(F.when((value > left) & (value < right), 1)),
-            F.count(F.when((value == right) & (value > left), 1)),
-        ]
-    counted = df.agg(*[t.alias(f"t{i}") for i, t in enumerate(tallies)]).first()
-    for i, s in enumerate(searches):
-        s.step(*fences[i], *counted[4 * i : 4 * i + 4])
+            keep = keep & (value < self.high)
+        return F.when(keep, value)
 
+    def shares(self) -> list[float]:
+        if self.inside is None:
+            return self.wanted
+        return [(rank - self.below) / max(self.inside - 1, 1) for rank in self.wanted]
 
-def _finish(df: DataFrame, searches: list[_Search]) -> None:
-    """Few rows are left in each fence: read off the wanted one."""
-    picks = []
-    for i, s in enumerate(searches):
-        value = number(df, s.column)
-        kept = F.sort_array(F.collect_list(F.when(s.holds(value), value)))
-        picks.append(F.get(kept, F.lit(s.rank - s.below)).alias(f"x{i}"))
-    row = df.agg(*picks).first()
-    for i, s in enumerate(searches):
-        s.found = row[i]
+
+def _cuts(df: DataFrame, open_fences: list[_Fence]) -> list[list[float]]:
+    """For each fence, values close to and around each rank sought."""
+    margin = 2.0 / ACCURACY
+    guesses = []
+    for i, fence in enumerate(open_fences):
+        ends = sorted({min(1.0, max(0.0, s + m)) for s in fence.shares() for m in (-margin, margin)})
+        guesses.append(F.percentile_approx(fence.value(df), ends, ACCURACY).alias(f"g{i}"))
+    return [sorted(set(found or [])) for found in df.agg(*guesses).first()]
+
+
+def _counts(df: DataFrame, open_fences: list[_Fence], cuts: list[list[float]]) -> list[dict[int, int]]:
+    """Rows per region: 0 before the first cut, 1 at it, 2 between it and the second, and so on."""
+    # Values first, comparisons after: a short expression per comparison keeps the code small.
+    values = df.select(*[fence.value(df).alias(f"v{i}") for i, fence in enumerate(open_fences)])
+    regions = []
+    for i, at in enumerate(cuts):
+        value = F.col(f"v{i}")
+        region = F.when(value.isNull(), -1)
+        for j, cut in enumerate(at):
+            region = region.when(value < cut, 2 * j).when(value == cut, 2 * j + 1)
+        regions.append(region.otherwise(2 * len(at)).alias(f"r{i}"))
+    # Fences are counted in threes, so a task sends on at most some thousand combinations of regions.
+    names = [f"r{i}" for i in range(len(cuts))]
+    threes = [names[i : i + 3] for i in range(0, len(names), 3)]
+    packed = F.array(
+        *[
+            F.struct(F.lit(3 * t).alias("first"), *[F.col(n).alias(p) for n, p in zip(three, "abc")],
+                     *[F.lit(-1).alias(p) for p in "abc"[len(three) :]])
+            for t, three in enumerate(threes)
+        ]
+    )
+    combined = values.select(*regions).select(F.inline(packed)).groupBy("first", "a", "b", "c").count()
+    each = F.array(*[F.struct((F.col("first") + i).alias("fence"), F.col(p).alias("region")) for i, p in enumerate("abc")])
+    rows = (
+        combined.select(F.inline(each), "count").where("region >= 0").groupBy("fence", "region").agg(F.sum("count")).collect()
+    )
+    counted: list[dict[int, int]] = [{} for _ in open_fences]
+    for fence, region, count in rows:
+        counted[fence][region] = count
+    return counted
+
+
+def _settle(fence: _Fence, at: list[float], counted: dict[int, int], found: dict) -> list[_Fence]:
+    """Ranks that fall on a cut are found; the others go on between two cuts."""
+    narrower: dict[int, _Fence] = {}
+    for rank in fence.wanted:
+        before = fence.below
+        for region in sorted(counted):
+            if rank < before + counted[region]:
+                break
+            before += counted[region]
+        if region % 2:
+            found[fence.column, rank] = at[region // 2]
+            continue
+        if region not in narrower:
+            low = at[region // 2 - 1] if region else fence.low
+            high = at[region // 2] if region // 2 < len(at) else fence.high
+            narrower[region] = _Fence(fence.column, [], low, high, before, counted[region])
+        narrower[region].wanted.append(rank)
+    return list(narrower.values())
+
+
+def _read_off(df: DataFrame, narrow: list[_Fence], found: dict) -> None:
+    """Few rows are left in each fence: sort them."""
+    kept = [F.sort_array(F.collect_list(fence.value(df))) for fence in narrow]
+    picks = [
+        F.array(*[F.get(kept[i], F.lit(rank - fence.below)) for rank in fence.wanted]).alias(f"x{i}")
+        for i, fence in enumerate(narrow)
+    ]
+    for fence, values in zip(narrow, df.agg(*picks).first()):
+        for rank, value in zip(fence.wanted, values):
+            found[fence.column, rank] = value
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], exact_rows: int = EXACT_ROWS
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; missing values are left out."""
-    columns = list(columns)
+    columns, probs = list(columns), list(probs)
     if not columns:
         return {}
     df = df.select(*[number(df, c).alias(c) for c in columns])
     if df.count() <= exact_rows:
-        row = df.agg(*[F.percentile(number(df, c), list(probs)).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        row = df.agg(*[F.percentile(number(df, c), probs).alias(f"q{i}") for i, c in enumerate(columns)]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
 
-    sizes = df.agg(*[F.count(number(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    searches: dict[tuple[str, int], _Search] = {}
-    for i, c in enumerate(columns):
-        for p in probs:
-            position = (sizes[i] - 1) * p
-            for rank in {math.floor(position), math.ceil(position)}:
-                if sizes[i]:
-                    searches[c, rank] = _Search(c, rank, sizes[i])
-    while wide := [s for s in searches.values() if s.found is None and s.inside > exact_rows // 10]:
-        _narrow(df, wide)
-    if rest := [s for s in searches.values() if s.found is None]:
-        _finish(df, rest)
+    found: dict[tuple[str, int], float] = {}
+    sizes: dict[str, int] = {}
+    todo = [_Fence(c, probs) for c in columns]
+    narrow: list[_Fence] = []
+    while todo:
+        cuts = _cuts(df, todo)
+        ahead = []
+        for fence, at, counted in zip(todo, cuts, _counts(df, todo, cuts)):
+            if fence.inside is None:
+                sizes[fence.column] = rows = sum(counted.values())
+                fence.inside = rows
+                places = [(rows - 1) * p for p in probs if rows]
+                fence.wanted = sorted({r for x in places for r in (math.floor(x), math.ceil(x))})
+            ahead += _settle(fence, at, counted, found)
+        narrow += [f for f in ahead if f.inside <= exact_rows]
+        todo = [f for f in ahead if f.inside > exact_rows]
+    if narrow:
+        _read_off(df, narrow, found)
 
     result: dict[str, list[float | None]] = {}
-    for i, c in enumerate(columns):
-        result[c] = []
-        for p in probs:
-            if not sizes[i]:
-                result[c].append(None)
-                continue
-            position = (sizes[i] - 1) * p
-            low = searches[c, math.floor(position)].found
-            high = searches[c, math.ceil(position)].found
-            result[c].append(low + (high - low) * (position - math.floor(position)))
+    for c in columns:
+        result[c] = [None] * len(probs)
+        for i, p in enumerate(probs if sizes[c] else []):
+            place = (sizes[c] - 1) * p
+            low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
+            result[c][i] = low + (high - low) * (place - math.floor(place))
     return result
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,3 +56,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A path not used before, under the shared folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few files shared out among all cores, for work that passes over it many times.
+
+    A table that already has a partition per core, as any large one has, is left alone. Only for
+    frames without a shuffle, whose number of partitions is known before they run.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

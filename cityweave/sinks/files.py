@@ -16,7 +16,13 @@ UPLOAD_RECORDS = 100
 def write_json(
     df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (), max_records: int = 0
 ) -> None:
-    """JSON lines. ``max_records`` bounds the records of a file; 0 is no bound."""
+    """JSON lines. ``max_records`` bounds the records of a file; 0 is no bound.
+
+    Rows of one folder are brought together before the write, so that a folder gets few files;
+    the rebalance hint cuts a folder that holds much of the data into several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("maxRecordsPerFile", max_records)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

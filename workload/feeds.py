@@ -120,7 +120,9 @@ def feed(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     if topic == "traffic":
         fields = {"_id": F.col("event_id").cast("string"), **fields}
     rows = events(spark, sf_dir).where(F.col("event_type") == EVENT_TYPES[topic])
-    levels = [F.date_format("ts", p).alias(n) for n, p in zip(PARTITION_LEVELS, ("yyyy", "MM", "dd", "HH"))]
+    quarter = F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0")  # of the day, by its first hour
+    levels = [F.date_format("ts", p) for p in ("yyyy", "MM", "dd")] + [quarter]
+    levels = [level.alias(n) for level, n in zip(levels, PARTITION_LEVELS)]
     return rows.select(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("value"), *levels)
 
 
@@ -139,9 +141,13 @@ def clean(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return topic_job(raw(spark, sf_dir, topic), topic)
 
 
+def stored(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The three clean tables as the topic jobs leave them for the combine job."""
+    return [materialised(clean(spark, sf_dir, t), f"{t}_clean") for t in ("traffic", "weather", "air")]
+
+
 def aligned(spark: SparkSession, sf_dir: str, bucket_minutes: int) -> DataFrame:
-    traffic, weather, air = (clean(spark, sf_dir, t) for t in ("traffic", "weather", "air"))
-    return align_topics(traffic, weather, air, bucket_minutes)
+    return align_topics(*stored(spark, sf_dir), bucket_minutes)
 
 
 _TABLES: dict[tuple[str, str], DataFrame] = {}
@@ -151,6 +157,5 @@ def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled table that training reads, built once per session and stored."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
-        traffic, weather, air = (clean(spark, sf_dir, t) for t in ("traffic", "weather", "air"))
-        _TABLES[key] = materialised(combine_job(traffic, weather, air, bucket_minutes=60), "combined")
+        _TABLES[key] = materialised(combine_job(*stored(spark, sf_dir), bucket_minutes=60), "combined")
     return _TABLES[key]

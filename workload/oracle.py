@@ -103,7 +103,7 @@ def _zeros(c: str) -> str:
         return f"SELECT '{c}' AS \"column\", CAST(0 AS BIGINT) AS zero_count, CAST(0 AS DOUBLE) AS zero_percentage FROM (SELECT count(*) FROM lineitem)"
     return (
         f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} = 0) AS zero_count, "
-        f"round(100.0 * count(*) FILTER (WHERE {c} = 0) / count({c}), 2) AS zero_percentage FROM {GAPPY}"
+        f"round_even(count(*) FILTER (WHERE {c} = 0)::DOUBLE / count({c}) * 100 * 100, 0) / 100 AS zero_percentage FROM {GAPPY}"
     )
 
 
@@ -113,7 +113,8 @@ WEIGHTED = "(SELECT *, l_extendedprice * l_quantity AS weight, l_extendedprice *
 def _outliers(c: str) -> str:
     return f"""SELECT '{c}' AS "column",
        count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS num_outliers,
-       round(100.0 * count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) / count(*), 2) AS percentage
+       round_even(count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1))::DOUBLE / count(*) * 100 * 100, 0)
+         / 100 AS percentage
 FROM (SELECT {c} AS x FROM {WEIGHTED}),
      (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {WEIGHTED})"""
 
@@ -188,7 +189,7 @@ def _robust(c: str, source: str) -> str:
 
 ORACLE: dict[str, str] = {
     "scan_topic": f"""{FEEDS} SELECT _id, city, delay, strftime(ts, '%Y') AS partition_0, strftime(ts, '%m') AS partition_1,
-        strftime(ts, '%d') AS partition_2, strftime(ts, '%H') AS partition_3 FROM traffic""",
+        strftime(ts, '%d') AS partition_2, printf('%02d', hour(ts) // 6 * 6) AS partition_3 FROM traffic""",
     "collection_scan": f"WITH {EV} SELECT CAST(event_id AS VARCHAR) AS _id, city, value FROM ev",
     "concat_json": f"WITH {EV} SELECT event_id, k, value FROM ev",
     "explode_incidents": f"{FEEDS} SELECT _id, city, delay, CAST(floor(CAST(_id AS BIGINT) / 50) AS BIGINT) AS poll FROM traffic",

@@ -46,8 +46,7 @@ def _land_raw(spark: SparkSession, sf_dir: str, topic: str, name: str) -> str:
 @query
 def scan_topic(spark, sf_dir):
     path = work_path(spark, "traffic_raw")
-    lines = feeds.raw(spark, sf_dir, "traffic")
-    write_json(lines.repartition(*PARTITION_LEVELS), path, partition_by=PARTITION_LEVELS)
+    write_json(feeds.raw(spark, sf_dir, "traffic"), path, partition_by=PARTITION_LEVELS)
     topic = read_topic(spark, "traffic", path)
     return topic.select("_id", "properties.city", "properties.delay", *PARTITION_LEVELS)
 
