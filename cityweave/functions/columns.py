@@ -36,7 +36,10 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 def number(df: DataFrame, name: str) -> Column:
     """The column as a double in which every missing value is null."""
-    return F.when(~is_missing(df, name), field(name).cast("double"))
+    value = field(name)
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        value = F.when(~F.isnan(value), value)
+    return value.cast("double")
 
 
 def long_form(df: DataFrame, columns: Iterable[str], name: str = "column", value: str = "value") -> DataFrame:

@@ -32,10 +32,9 @@ def resolve_choice(choice: Column) -> Column:
 
 def map_labels(code: Column, labels: Mapping[int, str] = LEVELS) -> Column:
     """Code -> label; a code without a label gives null."""
-    chosen = F.lit(None).cast("string")
-    for key, label in labels.items():
-        chosen = F.when(code == key, F.lit(label)).otherwise(chosen)
-    return chosen
+    if not labels:
+        return F.lit(None).cast("string")
+    return F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])[code.cast("int")]
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityweave.functions.columns import is_missing, quoted
@@ -48,7 +48,10 @@ def evaluate_rules(df: DataFrame, rules: Sequence[tuple] = DEFAULT_RULES) -> Dat
     return measured.select(F.inline(F.array(*rows)))
 
 
-def observed(df: DataFrame, name: str = "quality") -> tuple[DataFrame, Observation]:
-    """Count rows while another action runs, at no extra pass."""
-    watch = Observation(name)
-    return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
+def observed(df: DataFrame, rules: Sequence[tuple] = DEFAULT_RULES, name: str = "quality") -> DataFrame:
+    """The frame itself; the rules' measures are gathered while it is written, at no extra pass.
+
+    Works on streams, where a query's progress reports them per batch under ``name``.
+    """
+    measures = [_measure(df, m).alias(_name(m, test, bound)) for m, test, bound in rules]
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *measures)

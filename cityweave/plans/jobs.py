@@ -6,16 +6,17 @@ from collections.abc import Callable, Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cityweave.functions.timeparts import split_report_time
 from cityweave.functions.values import CITY_ALIASES, resolve_choice
 from cityweave.operators.align import align_topics
 from cityweave.operators.clean import clean_rows
-from cityweave.operators.cluster import classify_pollution
+from cityweave.operators.cluster import fit_pollution
 from cityweave.operators.features import hash_split
 from cityweave.operators.flatten import drop_columns, flatten_air, flatten_traffic, flatten_weather, incident_time
 from cityweave.operators.models import KINDS, Trained, load_model, score, train
-from cityweave.session import work_path
+from cityweave.session import spread, work_path
 
 
 def clean_air(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
@@ -48,6 +49,12 @@ def topic_job(raw: DataFrame, topic: str, source_tz: str = "UTC") -> DataFrame:
     return TOPIC_JOBS[topic](raw, source_tz=source_tz)
 
 
+def topic_jobs(raws: Mapping[str, DataFrame], source_tz: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """A named collection of raw frames -> a collection of clean frames with the same names."""
+    zones = source_tz or {}
+    return {topic: topic_job(raw, topic, zones.get(topic, "UTC")) for topic, raw in raws.items()}
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back: survives lost executors, computed once."""
     path = work_path(df.sparkSession, name)
@@ -58,11 +65,18 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
 def combine_job(
     traffic: DataFrame, weather: DataFrame, air: DataFrame, bucket_minutes: int = 1, aliases=CITY_ALIASES, **clustering
 ) -> DataFrame:
-    """Clean topics -> aligned rows with a pollution level, without repeats and gaps."""
+    """Clean topics -> aligned rows with a pollution level, without repeats and gaps.
+
+    Rows with gaps take part in the clustering and go afterwards. The level depends on the row
+    alone, so it is worked out last, for the rows that stay.
+    """
     if traffic.schema["length"].dataType.typeName() == "struct":
         traffic = traffic.withColumn("length", resolve_choice(traffic["length"]))
-    aligned = materialised(align_topics(traffic, weather, air, bucket_minutes, aliases), "aligned")
-    return classify_pollution(aligned, **clustering).transform(clean_rows)
+    aligned = spread(materialised(align_topics(traffic, weather, air, bucket_minutes, aliases), "aligned"))
+    model = fit_pollution(aligned, **clustering)
+    combined = model.label(clean_rows(aligned))
+    # Without the test the filter is not there to be pushed down, which would work out levels twice.
+    return combined if model.names_all() else combined.where(F.col("pollution_level").isNotNull())
 
 
 def train_job(combined: DataFrame, kind: str, split_keys: tuple[str, ...] = ("_id",), exclude=()) -> Trained:
