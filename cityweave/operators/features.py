@@ -62,25 +62,26 @@ def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(number(df, c), F.lit(means[i])) for i, c in enumerate(columns)})
 
 
-def centre_and_spread(df: DataFrame, columns: Sequence[str], filled: bool = False) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column; with ``filled`` as if gaps held the mean."""
+def mean_and_variance(df: DataFrame, columns: Sequence[str], filled: bool = False) -> dict[str, tuple[float, float]]:
+    """Mean and population variance per column; with ``filled`` as if gaps held the mean."""
     measures = []
-    for i, c in enumerate(columns):
+    for c in columns:
         value = number(df, c)
         measures += [F.avg(value), F.var_pop(value), F.count(value)]
     row = df.agg(F.count("*").alias("rows"), *[m.alias(f"m{i}") for i, m in enumerate(measures)]).first()
     result = {}
     for i, c in enumerate(columns):
         mean, variance, present = row[1 + 3 * i : 4 + 3 * i]
-        if mean is None:
-            result[c] = (0.0, 1.0)
-            continue
-        if filled:
-            variance *= present / row["rows"]
-        result[c] = (mean, variance**0.5 or 1.0)  # a constant column keeps unit scale
+        share = present / row["rows"] if filled and row["rows"] else 1.0
+        result[c] = (mean, variance * share) if present else (0.0, 0.0)
     return result
 
 
+def centre_and_spread(df: DataFrame, columns: Sequence[str], filled: bool = False) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation per column; a constant column keeps unit scale."""
+    return {c: (mean, variance**0.5 or 1.0) for c, (mean, variance) in mean_and_variance(df, columns, filled).items()}
+
+
 def scaled(df: DataFrame, name: str, centre: float, spread: float) -> Column:
     return (number(df, name) - F.lit(float(centre))) / F.lit(float(spread))
 

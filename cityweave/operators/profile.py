@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from cityweave.functions.columns import field, is_missing, long_form, number, numeric_columns, text_columns
 from cityweave.functions.values import percent
@@ -78,10 +79,14 @@ def _fences(df: DataFrame, columns: Sequence[str], approximate: bool) -> dict[st
 
 
 def _outside(df: DataFrame, name: str, fence: tuple[float, float] | None) -> Column:
+    """Beyond the fences and present. The comparison stands alone, so that scans can use it."""
     if fence is None:
         return F.lit(False)
-    value = number(df, name)
-    return (value < fence[0]) | (value > fence[1])
+    value = field(name)
+    beyond = (value < fence[0]) | (value > fence[1])
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        beyond = beyond & ~F.isnan(value)
+    return beyond
 
 
 def profile_outliers(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:

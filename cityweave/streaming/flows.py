@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cityweave.functions.columns import field
-from cityweave.functions.timeparts import iso_to_naive, parse_clock
+from cityweave.functions.timeparts import iso_to_naive
 from cityweave.functions.values import CITY_ALIASES, normalise_city
 from cityweave.operators.clean import latest_per_key
 
@@ -86,7 +86,7 @@ def with_event_time(flat: DataFrame, source: str = "report_time", output: str =
     """Event time as ``timestamp``, the type watermarks need, from clock text, ISO text or a clock."""
     value = field(source)
     if flat.schema[source].dataType.typeName() == "string":
-        value = F.coalesce(parse_clock(value), iso_to_naive(value))
+        value = iso_to_naive(value)
     return flat.withColumn(output, value.cast("timestamp"))
 
 
