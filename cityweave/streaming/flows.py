@@ -27,15 +27,28 @@ def start_files(
     format: str = "parquet",
     trigger: Trigger = DRAIN,
     partition_by: Sequence[str] = (),
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to files. Each record lands once, also when the query stops and starts again.
 
     ``DRAIN`` takes what has arrived since the last run and ends, like a job with a bookmark.
+    ``state_partitions`` is the number of parts that state is kept in; the first start of a
+    query fixes it for as long as its checkpoint lives. Unset, it is the session's number of
+    shuffle partitions.
     """
     writer = stream.writeStream.format(format).option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.outputMode("append").trigger(**trigger).start()
+    writer = writer.outputMode("append").trigger(**trigger)
+    if state_partitions is None:
+        return writer.start()
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions))
+    try:
+        return writer.start()  # a started query keeps its own copy of the settings
+    finally:
+        conf.set(key, before)
 
 
 def start_batches(

@@ -642,7 +642,10 @@ def stream_dedupe(spark, sf_dir):
     incidents = _event_stream(spark, sf_dir, "traffic", copies=2)
     out = work_path(spark, "deduped")
     flows.start_files(
-        flows.stream_dedupe(incidents, "event_ts", HISTORY), out, work_path(spark, "state")
+        flows.stream_dedupe(incidents, "event_ts", HISTORY),
+        out,
+        work_path(spark, "state"),
+        state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     rows = spark.read.parquet(out)
     return rows.select("_id", "city", "delay", "event_code", timeparts.clock_text(F.col("event_ts")).alias("event_ts"))
@@ -668,7 +671,8 @@ def stream_align(spark, sf_dir):
     traffic, weather, air = (_event_stream(spark, sf_dir, t) for t in ("traffic", "weather", "air"))
     joined = flows.stream_align(traffic, weather, air, bucket_minutes=60, delay=HISTORY)
     out = work_path(spark, "stream_aligned")
-    flows.start_files(joined, out, work_path(spark, "state")).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    flows.start_files(joined, out, work_path(spark, "state"), state_partitions=cores).awaitTermination()
     return spark.read.parquet(out)
 
 
