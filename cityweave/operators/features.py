@@ -13,8 +13,9 @@ from cityweave.functions.columns import field, number
 from cityweave.operators.quantiles import quantiles
 from cityweave.session import checkpoint_root
 
-# Up to this many levels are numbered in one task and sent to every executor.
+# Up to this many levels, with this many bytes of text, are numbered in one task and sent to every executor.
 FEW_LEVELS = 100_000
+FEW_BYTES = 64 * 1024 * 1024
 
 
 def _number_rows(levels: DataFrame, order: list[Column], few: int) -> tuple[DataFrame, bool]:
@@ -24,7 +25,8 @@ def _number_rows(levels: DataFrame, order: list[Column], few: int) -> tuple[Data
     numbered on its own, starting where the parts before it end.
     """
     levels = levels.persist()
-    if levels.count() <= few:
+    size = levels.agg(F.count("*").alias("levels"), F.sum(F.octet_length(F.col("_level").cast("string"))).alias("bytes")).first()
+    if size["levels"] <= few and (size["bytes"] or 0) <= FEW_BYTES:
         return levels.withColumn("index", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint")), True
     checkpoint_root(levels.sparkSession)
     parts = levels.orderBy(*order).withColumn("_part", F.spark_partition_id()).checkpoint()

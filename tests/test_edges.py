@@ -268,3 +268,30 @@ def test_kde_binned_is_close_to_exact(spark):
     binned = {r["point"]: r["density"] for r in profile.kde_curve(df, mode="binned").collect()}
     assert len(exact) == 200 and max(abs(exact[i] - binned[i]) for i in exact) < 1e-3
     assert math.isclose(sum(exact.values()) * 2 / 199, 1, abs_tol=0.1)
+
+
+def test_significant_features(spark):
+    rows = [(g, w, y + 0.01 * i) for i, (g, w, y) in enumerate([("a", "x", 1.0), ("b", "y", 9.0)] * 20 + [("a", "y", 1.0), ("b", "x", 9.0)] * 20)]
+    df = spark.createDataFrame(rows, "g string, w string, y double")
+    assert column(stats.significant_features(df, ["g", "w"], "y"), "feature") == ["g"]
+
+
+def test_splits(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("_id"))
+    first, second = features.random_split(df)
+    assert first.count() + second.count() == 2000 and 1500 < first.count() < 1700
+    same = features.hash_split(df.repartition(7), "_id")
+    for one, other in zip(features.hash_split(df, "_id"), same):
+        assert {r[0] for r in one.collect()} == {r[0] for r in other.collect()}
+    assert same[0].count() + same[1].count() == 2000
+
+
+def test_long_level_texts_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(features, "FEW_BYTES", 100)
+    df = spark.createDataFrame([("x" * 90,), ("y" * 90,), ("x" * 90,)], "t string")
+    assert sorted(r["n"] for r in features.label_encode(df, "t", "n").collect()) == [0, 0, 1]
+
+
+def test_a_collection_of_topics(spark):
+    raws = {"traffic": _traffic(spark)}
+    assert jobs.topic_jobs(raws)["traffic"].count() == 1
