@@ -2,28 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityweave.llm import chat, exact_dedup, hash_tree, mixing, secret_scan
+from cityweave.llm import binary_ids, chat, exact_dedup, hash_tree, merkle, mixing, near_dedup, prefix_bpe, secret_scan, toxicity
 from cityweave.llm.common import table
 
+#: Vocabulary files, installed on every machine.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources at equal weight, as many rows as there are documents."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the ids of all documents as blocks and reads them back."""
+    blocks, ranked = binary_ids.write(table(spark, sf_dir, "documents"), WORD_BPE)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            checked = pa.array([zlib.crc32(ids.as_buffer()) for ids in batch.column("ids")], pa.int64())
+            names = ["doc_id", "start", "n_tokens"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], checked], [*names, "ids_crc32"])
+
+    return binary_ids.read(blocks, ranked).mapInArrow(digests, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+
+
+def edited_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited(table(spark, sf_dir, "documents"))
+
+
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def prefix_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.place(table(spark, sf_dir, "documents"))
 
 
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on labels that aren't held out, applied to all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and number -7, whose texts hold the template's own control strings."""
     rows = table(spark, sf_dir, "conversations")
@@ -58,10 +94,19 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find_components(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mix": mix_sources,
+    "op2_binary_token_ids": token_ids,
+    "op3_merkle_fingerprints": edited_prints,
     "op4_exact_dedup": exact_copies,
+    "op5_prefix_bpe": prefix_ids,
     "op6_hash_tree_shards": shards,
+    "op7_toxicity": toxic_scores,
     "op8_chat_format": conversations,
     "op9_secret_links": secrets,
+    "op10_minhash_near_dedup": near_copies,
 }
