@@ -33,7 +33,10 @@ END_ID = 1
 #: Ids of a block.
 BLOCK = 1 << 16
 #: Words that a process remembers; it starts anew beyond.
-MOST_WORDS = 400_000
+MOST_WORDS = 1_000_000
+
+#: ASCII signs that are neither letters nor digits, but for the apostrophe, which may begin a suffix.
+_TAIL = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
@@ -51,15 +54,38 @@ class Words:
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
 
+    @staticmethod
+    def parts(word: bytes) -> list[bytes]:
+        """A word in lower case, cut before the signs that it ends in if a letter or digit stands before them.
+
+        The tokenizer ignores case and always cuts there, but for the strings of its special tokens.
+        """
+        if b"<|" in word:
+            return [word]
+        word = word.lower()
+        core = word.rstrip(_TAIL)
+        if len(core) in (0, len(word)) or not core[-4:].decode(errors="ignore")[-1:].isalnum():
+            return [word]
+        return [core, word[len(core) :]]
+
+    def _learn(self, new: set[bytes]) -> None:
+        cut = {word: self.parts(word) for word in new}
+        parts = list({part for own in cut.values() for part in own} - self.known.keys())
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        self.known.update((part, np.array(e.ids, dtype="<u4").tobytes()) for part, e in zip(parts, encoded, strict=True))
+        self.known.update((word, b"".join([self.known[p] for p in own])) for word, own in cut.items())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        split = [text.encode().split() for text in texts]
         if len(self.known) > MOST_WORDS:
             self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((word, np.array(e.ids, dtype="<u4").tobytes()) for word, e in zip(new, encoded, strict=True))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        split = [text.encode().split() for text in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        short = [k for k, ids in enumerate(found) if None in ids]
+        self._learn({w for k in short for w, ids in zip(split[k], found[k], strict=True) if ids is None})
+        for k in short:
+            found[k] = [self.known[w] for w in split[k]]
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=1)

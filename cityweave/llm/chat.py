@@ -8,7 +8,7 @@ they are, parsed again and compared with its source. If the turns differ, confli
 and the result parsed and compared again: first only the control strings and the escape sign, then every
 sign that a control string is made of. The level that came back identical is stored beside the text.
 
-Level 1 writes ``\\`` as ``\\\\``, ``</turn>`` as ``<\\/turn>`` and ``###`` as ``#\\##``; level 2 puts a
+Level 1 writes ``\\`` as ``\\\\``, ``</turn>`` as ``<\\/turn>`` and ``##`` as ``#\\#``; level 2 puts a
 ``\\`` before each of ``\\ < / > # :``. Both are undone by dropping one ``\\`` before each kept sign.
 
 ``loss_mask`` has the spans, in code points of ``formatted``, of the assistant's texts, as start and length.
@@ -35,7 +35,7 @@ def escaped(text: Column, level: int) -> Column:
     if level == 1:
         out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
         out = F.replace(out, F.lit(CLOSE), F.lit("<\\/turn>"))
-        return F.replace(out, F.lit("###"), F.lit("#\\##"))
+        return F.replace(out, F.lit("##"), F.lit("#\\#"))
     return F.regexp_replace(text, r"([\\</>#:])", r"\\$1")
 
 

@@ -76,12 +76,11 @@ def mix(
     """
     docs = docs.drop(*ADDED)
     rates = mean_copies(docs, weights, other, total_rows)
-    rates = stored(rates.select(F.col("source").alias("__source"), _distribution(F.col("rate")).alias("__sums")), "mix-rates")
-    drawn = docs.join(small_side(rates, MOST_BROADCAST), F.col("source").eqNullSafe(F.col("__source")))
-    draw = unit_draw(F.lit(f"copies-{seed}"), id_text())
-    drawn = drawn.withColumn("__draw", draw)
-    copies = F.size(F.filter("__sums", lambda x: x <= F.col("__draw")))
-    drawn = drawn.withColumn("copies", copies).drop("__source", "__sums", "__draw")
+    rates = stored(rates.select("source", _distribution(F.col("rate")).alias("sums")), "mix-rates")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(small_side(rates, MOST_BROADCAST), F.col("row.source").eqNullSafe(F.col("source")))
+    drawn = joined.withColumn("draw", unit_draw(F.lit(f"copies-{seed}"), id_text("row.doc_id")))
+    drawn = drawn.withColumn("copies", F.size(F.filter("sums", lambda x: x <= F.col("draw"))))
     copied = drawn.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    key = F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), id_text(), F.col("copy").cast("string")))
-    return copied.withColumn("shuffle_key", key).orderBy("shuffle_key", "doc_id", "copy")
+    key = F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), id_text("row.doc_id"), F.col("copy").cast("string")))
+    return copied.select("row.*", "copy", "copies", key.alias("shuffle_key")).orderBy("shuffle_key", "copy")

@@ -36,7 +36,7 @@ WITH rows AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 hard AS (SELECT conv_id, bool_or(contains(text, '</turn>')) AS escape FROM rows GROUP BY conv_id),
 written AS (
-  SELECT r.*, CASE WHEN escape THEN replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##') ELSE text END AS body
+  SELECT r.*, CASE WHEN escape THEN replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#') ELSE text END AS body
   FROM rows r JOIN hard h ON r.conv_id IS NOT DISTINCT FROM h.conv_id)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,

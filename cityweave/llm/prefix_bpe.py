@@ -38,9 +38,10 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed: the byte-level pre-tokenizer's pattern.
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 UNIT = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-#: Units and pairs that a process remembers; it starts anew beyond.
-MOST_UNITS = 300_000
-MOST_PAIRS = 1_000_000
+#: Units, pieces and pairs that a process remembers; it starts anew beyond.
+MOST_UNITS = 800_000
+MOST_PIECES = 400_000
+MOST_PAIRS = 500_000
 
 
 def byte_signs() -> dict[str, int]:
@@ -50,6 +51,21 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in printed} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+class Pool:
+    """Short byte strings by number, looked up many at a time."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(s) for s in strings])
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.begins[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.data[at].tobytes()
+
+
 class PrefixEncoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -60,9 +76,10 @@ class PrefixEncoder:
         self.bytes_of: list[bytes] = [b""] * size
         for token, n in vocabulary.items():
             self.bytes_of[n] = bytes(signs[c] for c in token)
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        for token, n in self.special.items():
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        for token, n in special.items():
             self.bytes_of[n] = token.encode()
+        self.special = {token: np.array([n], dtype="<u4").tobytes() for token, n in special.items()}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.merged = {(vocabulary[a], vocabulary[b]): vocabulary[a + b] for a, b in merges}
@@ -77,9 +94,10 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-        self.units: dict[str, tuple[bytes, bytes]] = {}
-        ends = np.cumsum([0, *self.lengths])
-        self.pool, self.begins, self.sizes = np.frombuffer(b"".join(self.bytes_of), np.uint8), ends[:-1], np.array(self.lengths)
+        self.units: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.spelled = Pool(self.bytes_of)
+        self.decimal = Pool([b"%d," % n for n in range(size)])
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two tokens stay apart when the bytes of both are encoded together."""
@@ -136,35 +154,33 @@ class PrefixEncoder:
             end -= lengths[last[end]]
         return out[::-1]
 
-    def _unit(self, unit: str) -> tuple[bytes, bytes]:
-        ids = [n for piece in PIECE.findall(unit) for n in self.encode_piece(piece.encode())]
-        known = self.units[unit] = (np.array(ids, dtype="<u4").tobytes(), "".join(f"{n}," for n in ids).encode())
-        return known
-
-    def encode_both(self, text: str) -> tuple[bytes, bytes]:
-        """Ids as 32-bit integers, and in decimal with a comma after each."""
+    def _unit(self, unit: str) -> bytes:
+        out = b""
+        for piece in PIECE.findall(unit):
+            known = self.pieces.get(piece)
+            if known is None:
+                if len(self.pieces) > MOST_PIECES:
+                    self.pieces.clear()
+                known = self.pieces[piece] = np.array(self.encode_piece(piece.encode()), dtype="<u4").tobytes()
+            out += known
+        self.units[unit] = out
+        return out
+
+    def encode_bytes(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         if self.special_cut and any(s in text for s in self.special):
-            parts = [self._special(p) if p in self.special else self.encode_both(p) for p in self.special_cut.split(text)]
-            return b"".join(p[0] for p in parts), b"".join(p[1] for p in parts)
+            return b"".join([self.special.get(p) or self.encode_bytes(p) for p in self.special_cut.split(text)])
         if len(self.units) > MOST_UNITS:
             self.units.clear()
         known = self.units
-        found = [known.get(u) or self._unit(u) for u in UNIT.findall(text)]
-        return b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
-
-    def _special(self, token: str) -> tuple[bytes, bytes]:
-        n = self.special[token]
-        return np.array([n], dtype="<u4").tobytes(), f"{n},".encode()
+        return b"".join([known.get(u) or self._unit(u) for u in UNIT.findall(text)])
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode_both(text)[0], "<u4")
+        return np.frombuffer(self.encode_bytes(text), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 become replacement signs."""
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.begins[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return self.pool[at].tobytes().decode("utf-8", "replace")
+        return self.spelled.joined(ids).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)
@@ -211,10 +227,9 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
         for piece in slices(batches):
             counts, ids, texts = [], [], []
             for text in piece.column("text").to_pylist():
-                raw, decimal = own.encode_both(text)
-                numbers = np.frombuffer(raw, "<u4")
+                numbers = own.encode(text)
                 counts.append(len(numbers))
-                ids.append(sha256(decimal[:-1]))
+                ids.append(sha256(own.decimal.joined(numbers)[:-1]))
                 texts.append(sha256(own.decode(numbers).encode()))
             columns = [piece.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

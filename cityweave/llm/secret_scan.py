@@ -1,7 +1,7 @@
 """Secrets in text: patterns that stand alone, and weak parts that count only together.
 
 Base kinds are ``assign``, ``access`` and ``hex``, leftmost non-overlapping matches of each. Weak kinds
-are reported only if a part of another role lies within ``SCOPE`` code points, since a credential is
+are reported only if a part of another role is less than ``SCOPE`` code points away, since a credential is
 made of an identifier, a secret and the endpoint it opens:
 
     ident      an account or key id that is assigned          identifier
