@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,10 +55,31 @@ def bbox_assign(
     )
 
 
+def without_strings(text: Column) -> Column:
+    """JSON text without its quoted strings; a quote that stays has no partner."""
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    return F.regexp_replace(plain, '"[^"]*"', "")
+
+
+def one_object(text: Column) -> Column:
+    """Whether a text is a single JSON object from its first sign to its last, by its brackets outside of strings."""
+    signs = F.split(F.regexp_replace(without_strings(text), r'[^{}\[\]"]', ""), "")
+
+    def step(state: Column, sign: Column) -> Column:
+        depth = state["depth"] + F.when(sign.isin("{", "["), 1).when(sign.isin("}", "]"), -1).otherwise(0)
+        ends = state["ends"] + F.when((depth <= 0) & (sign != ""), 1).otherwise(0)
+        return F.struct(depth.alias("depth"), ends.alias("ends"))
+
+    last = F.aggregate(signs, F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")), step)
+    closed = (last["depth"] == 0) & (last["ends"] == 1)
+    return F.regexp_like(text, F.lit(r"(?s)^\s*\{.*\}\s*$")) & closed & ~F.contains(without_strings(text), F.lit('"'))
+
+
 def parse_records(lines: DataFrame, schema: StructType, column: str = "value", bad: str = "_corrupt_record") -> DataFrame:
     """JSON text -> columns of ``schema``; ``bad`` holds the text of records that do not parse.
 
-    The record comes out of a generator, which later filters are not pushed through: a filter
+    A text that holds more than one object, or anything beside one, is rejected as a whole: the parser
+    would stop after the first object. The record comes out of a generator, which later filters are not pushed through: a filter
     on many columns would otherwise parse the text once per column.
     """
     wide = StructType(list(schema.fields)).add(bad, "string")
@@ -66,8 +87,8 @@ def parse_records(lines: DataFrame, schema: StructType, column: str = "value", b
     rest = [c for c in lines.columns if c != column]
     record = F.from_json(field(column), wide, options)
     parsed = lines.select(*map(field, rest), field(column).alias("_text"), F.inline(F.array(record)))
-    empty = F.col("_text").isNull() | (F.trim("_text") == "")
-    return parsed.withColumn(bad, F.when(empty, F.coalesce("_text", F.lit(""))).otherwise(field(bad))).select(
+    rejected = ~F.coalesce(one_object(F.col("_text")), F.lit(False))
+    return parsed.withColumn(bad, F.when(rejected, F.coalesce("_text", F.lit(""))).otherwise(field(bad))).select(
         *[field(c) for c in (*rest, *schema.names, bad)]
     )
 

@@ -37,6 +37,37 @@ def test_concatenated_objects_cut_by_the_reader(spark, tmp_path):
     assert sorted(column(good, "a")) == [1, 2, 3, 4] and bad.count() == 0
 
 
+def test_objects_are_told_apart_outside_of_strings(spark, tmp_path):
+    texts = ['{"a":1}\n{"a":2}{"a":3}', '{"a":4,"s":"x} {y}{z"} {"a":5,"s":"}"}', '{"a":6,"s":"\\"}{\\\\"}{"a":7}  ', "{}{}"]
+    for n, text in enumerate(texts):
+        (tmp_path / f"{n}.json").write_text(text)
+    schema = struct(a=INT, s=TEXT)
+    for whole in (True, False):
+        good, bad = clean.valid_records(read_concat_json(spark, str(tmp_path), schema, whole_files=whole))
+        assert bad.isEmpty()
+        got = sorted((r.a is None, r.a or 0, r.s) for r in good.collect())
+        assert [a for none, a, _ in got if not none] == [1, 2, 3, 4, 5, 6, 7] and sum(none for none, _, _ in got) == 2
+        assert {r.s for r in good.collect()} == {None, "x} {y}{z", "}", '"}{\\'}
+
+
+def test_more_than_one_object_is_rejected_whole(spark):
+    texts = ['{"a":1}{"a":2}', '{"a":1} x', 'x {"a":1}', '[{"a":1}]', '{"a":1}]', '{"a":1}],[{"a":2}', '{"a":"}', '{"a":1', "", None, "12", '{"a":1}}']
+    good = ['{"a":1}', ' {"a":1}\n', '{"a":1,"b":{"c":[{},"}{"]}}', "{}"]
+    lines = spark.createDataFrame([(t,) for t in texts + good], "value string")
+    kept, bad = clean.valid_records(clean.parse_records(lines, struct(a=INT)))
+    assert kept.count() == len(good)
+    assert sorted(r._corrupt_record for r in bad.collect()) == sorted(t or "" for t in texts)
+
+
+def test_lines_that_are_no_records_are_kept_aside(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"location":{"name":"a"}}\n{"location":\n\n{"location":{"name":"b"}}{"location":{"name":"c"}}\n')
+    assert [r.location.name for r in read_topic(spark, "air", str(tmp_path)).collect()] == ["a"]
+    rows = read_topic(spark, "air", str(tmp_path), rejects=True).collect()
+    assert sorted(r._corrupt_record or "" for r in rows) == ["", '{"location":', '{"location":{"name":"b"}}{"location":{"name":"c"}}']
+    spark.read.text(str(tmp_path)).createOrReplaceTempView("air_lines")
+    assert read_topic(spark, "air", "air_lines", format="table").count() == 4
+
+
 def test_concatenated_objects_as_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a").write_text('{"a":1}{"a":2}\n{"a":3}')

@@ -191,7 +191,14 @@ ORACLE: dict[str, str] = {
     "scan_topic": f"""{FEEDS} SELECT _id, city, delay, strftime(ts, '%Y') AS partition_0, strftime(ts, '%m') AS partition_1,
         strftime(ts, '%d') AS partition_2, printf('%02d', hour(ts) // 6 * 6) AS partition_3 FROM traffic""",
     "collection_scan": f"WITH {EV} SELECT CAST(event_id AS VARCHAR) AS _id, city, value FROM ev",
-    "concat_json": f"WITH {EV} SELECT event_id, k, value FROM ev",
+    "concat_json": f"""WITH {EV}
+SELECT event_id, k, value, mode, CASE event_id % 7 WHEN 0 THEN 'plain' WHEN 1 THEN 'a }} {{ b' WHEN 2 THEN '}}' WHEN 3 THEN '{{'
+  WHEN 4 THEN 'say "}}{{" \\' WHEN 5 THEN '{{}}}}{{{{' ELSE 'tail \\\\' END AS note
+FROM ev, (VALUES ('files'), ('cut')) m(mode)
+UNION ALL SELECT 0, NULL, NULL, mode, 'rejects' FROM (VALUES ('files'), ('cut')) m(mode)""",
+    "topic_rejects": f"""{FEEDS} SELECT mode, _id,
+  CASE WHEN CAST(_id AS BIGINT) % 10 = 0 OR CAST(_id AS BIGINT) % 15 = 1 THEN 'bad' ELSE 'good' END AS state
+FROM traffic, (VALUES ('batch'), ('stream')) m(mode)""",
     "explode_incidents": f"{FEEDS} SELECT _id, city, delay, CAST(floor(CAST(_id AS BIGINT) / 50) AS BIGINT) AS poll FROM traffic",
     "flatten_air": f"{FEEDS} SELECT {AIR_COLUMNS}, {SECOND} AS report_time FROM air",
     "flatten_traffic": f"""{FEEDS} SELECT * EXCLUDE (ts, n_events) REPLACE (CAST(event_code AS DOUBLE) AS event_code) FROM traffic""",

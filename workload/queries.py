@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
 from cityweave.operators import align, clean, cluster, features, flatten, models, profile, quality, stats
-from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, struct
+from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, TEXT, struct
 from cityweave.session import work_path
 from cityweave.sinks.files import UPLOAD_RECORDS, write_json
 from cityweave.sources.concat_json import read_concat_json
@@ -59,19 +59,53 @@ def collection_scan(spark, sf_dir):
     return read_collection(spark, "parquet", {"path": path})
 
 
+def _notes() -> Column:
+    """Texts that look like the place between two objects."""
+    texts = ["plain", "a } { b", "}", "{", 'say "}{" \\', "{}}{{", "tail \\\\"]
+    return F.get(F.array(*[F.lit(t) for t in texts]), (F.col("event_id") % len(texts)).cast("int"))
+
+
 @query
 def concat_json(spark, sf_dir):
+    """Uploads of touching objects, some with blanks or line ends between, read by whole file and cut by the reader."""
     path = work_path(spark, "concat")
-    record = F.to_json(F.struct("event_id", "k", "value"))
+    record = F.to_json(F.struct("event_id", "k", "value", _notes().alias("note")))
+    gap = F.get(F.array(*[F.lit(g) for g in ("", "", "\n", " \r\n ", " ")]), (F.col("event_id") % 5).cast("int"))
     uploads = (
         feeds.events(spark, sf_dir)
         .groupBy(F.floor(F.col("event_id") / UPLOAD_RECORDS).alias("upload"))  # at most 100 rows each
-        .agg(F.concat_ws("", F.collect_list(record)).alias("value"))
+        .agg(F.concat_ws("", F.collect_list(F.concat(record, gap))).alias("value"))
+    )
+    uploads.select("value").write.option("maxRecordsPerFile", 1000).option("lineSep", " ").text(path)
+    schema = struct(event_id=LONG, k=INT, value=REAL, note=TEXT)
+    out = None
+    for mode, whole in (("files", True), ("cut", False)):
+        records, rejected = clean.valid_records(read_concat_json(spark, path, schema, whole_files=whole))
+        bad = rejected.agg(F.count("*").alias("event_id")).select("event_id", *[F.lit(None).cast(t).alias(c) for c, t in (("k", "int"), ("value", "double"))], F.lit("rejects").alias("note"))
+        part = records.unionByName(bad).withColumn("mode", F.lit(mode))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def topic_rejects(spark, sf_dir):
+    """Every line of a damaged feed as good or bad, by batch and by stream: some are cut off, some hold two records."""
+    path, out = work_path(spark, "damaged"), work_path(spark, "damaged_out")
+    lines = feeds.feed(spark, sf_dir, "traffic").select("value", F.get_json_object("value", "$._id").cast("bigint").alias("n"))
+    value = F.when(F.col("n") % 10 == 0, F.expr("substring(value, 1, length(value) - 3)"))
+    value = value.when(F.col("n") % 15 == 1, F.concat("value", "value")).otherwise(F.col("value"))
+    lines.select(value.alias("value")).write.text(path)
+    stream = read_stream(spark, "traffic", path, rejects=True)
+    flows.start_files(stream, out, work_path(spark, "state")).awaitTermination()
+    batch = read_topic(spark, "traffic", path, layout="bare", rejects=True)
+    both = batch.select("_id", "_corrupt_record", F.lit("batch").alias("mode")).unionByName(
+        spark.read.schema(stream.schema).parquet(out).select("_id", "_corrupt_record", F.lit("stream").alias("mode"))
+    )
+    bad = F.regexp_extract("_corrupt_record", '"_id":"([0-9]+)"', 1)
+    rejected = F.col("_corrupt_record").isNotNull()
+    return both.select(
+        "mode", F.when(rejected, bad).otherwise(F.col("_id")).alias("_id"), F.when(rejected, "bad").otherwise("good").alias("state")
     )
-    uploads.select("value").write.option("maxRecordsPerFile", 1000).text(path)
-    schema = struct(event_id=LONG, k=INT, value=REAL)
-    records, _ = clean.valid_records(read_concat_json(spark, path, schema))
-    return records
 
 
 @query
