@@ -52,15 +52,19 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cuts Arrow batches so that the texts of one piece come to about ``most_bytes``; a longer text is alone."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Cuts Arrow batches so that the texts of one piece come to about ``most`` bytes; a longer text is alone.
+
+    A column of numbers holds the sizes itself.
+    """
     for batch in batches:
-        lengths = [x or 0 for x in pa.compute.binary_length(batch.column(column)).to_pylist()]
+        values = batch.column(column)
+        lengths = (values if pa.types.is_integer(values.type) else pa.compute.binary_length(values)).to_pylist()
         begin, size = 0, 0
         for at, length in enumerate(lengths):
-            if at > begin and size + length > most_bytes:
+            if at > begin and size + (length or 0) > most:
                 yield batch.slice(begin, at - begin)
                 begin, size = at, 0
-            size += length
+            size += length or 0
         if begin < batch.num_rows:
             yield batch.slice(begin)

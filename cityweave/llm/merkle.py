@@ -10,8 +10,8 @@ finer pieces, about 4 bytes each, as they have too few of the others to compare.
 A fingerprint is written as ``root:section=paragraph.pieces,paragraph.pieces;section=...``, digests in
 hex, with ``~pieces`` at the end for the finer ones. The likeness of two is the share of pieces that they have in common.
 
-``edited`` pairs each document with the next by id. The rows are dealt out by ranges of the id; the first and last row
-of each range are paired in a second step, of two rows per task.
+``edited`` pairs each document with the next by id. The rows are dealt out by ranges of the id, and the first row of
+each range goes to the range before it as well.
 
 Edge cases: a null or empty text has a root over nothing; two empty texts are alike, an empty and another are not.
 Null ids come first, rows that repeat an id go by their texts. A single document is followed by itself.
@@ -25,11 +25,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType
 
-from cityweave.llm.common import slices, stored, text_of
+from cityweave.llm.common import slices, text_of
 
 #: Bytes that decide about a cut; zeros of this number stand between texts that are hashed together.
 WINDOW = 8
@@ -179,7 +181,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``fingerprint``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, most_bytes=1 << 19):
+        for piece in slices(batches, most=1 << 19):
             written = [p.written for p in prints(piece.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(written, pa.string())], ["doc_id", "fingerprint"])
 
@@ -199,15 +201,18 @@ _ARROW = pa.schema(
         ("near_next", pa.float64()),
     ]
 )
-_OPEN = [pa.field("part", pa.int32()), pa.field("end", pa.string()), pa.field("text", pa.string())]
+#: Ranges of ids for each shuffle partition, so that the partitions come out even.
+RANGES = 4
+#: Sorts before any id.
+_NULL = -(1 << 63)
 
 
-def _compared(ids: list, texts: list[str], following: list[str], own: list[Print], then: list[Print]) -> list[list]:
-    """The result's columns for documents, the documents that follow them, and the trees of both."""
+def _compared(ids: list, texts: list[str], following: list[str], own: list[Print], then: list[Print]) -> pa.RecordBatch:
+    """The result's rows for documents, the documents that follow them, and the trees of both."""
     cut = [len(t) - len(t) // 2 for t in texts]
     edited = [t[:c] + n[: len(t) - c] for t, n, c in zip(texts, following, cut, strict=True)]
     changed = prints(edited)
-    return [
+    columns = [
         ids,
         [len(t) for t in texts],
         [hashlib.sha256(t.encode()).hexdigest() for t in edited],
@@ -216,10 +221,37 @@ def _compared(ids: list, texts: list[str], following: list[str], own: list[Print
         [_likeness(p, q) for p, q in zip(own, changed, strict=True)],
         [_likeness(p, q) for p, q in zip(own, then, strict=True)],
     ]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
-def _batch(columns: list[list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+def _followed(docs: DataFrame) -> DataFrame:
+    """The documents by ranges of ids, each range sorted and ended by a copy of the document that follows it.
+
+    Columns: ``key`` (the id, null as the smallest number), ``text``, ``range``, ``extra`` (for the copies).
+    The ends of the ranges are quantiles of the ids; their number depends on the setting for shuffles alone.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL)).alias("key"), text_of().alias("text"))
+    shares = [k / (RANGES * parts) for k in range(RANGES * parts)]
+    least, found = rows.agg(F.min("key"), F.percentile_approx("key", shares, 100 * len(shares))).first()
+    firsts = np.array(sorted({least, *(found or [])}) if least is not None else [_NULL], dtype=np.int64)
+
+    @F.pandas_udf(LongType())
+    def place(key: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(firsts, key.to_numpy(), side="right") - 1)
+
+    @F.pandas_udf(BooleanType())
+    def begins(key: pd.Series) -> pd.Series:
+        return pd.Series(firsts[np.searchsorted(firsts, key.to_numpy(), side="right") - 1] == key.to_numpy())
+
+    last = len(firsts) - 1
+    placed = rows.select("key", "text", place("key").alias("own"), begins("key").alias("begins"))
+    before = F.when(F.col("own") > 0, F.col("own") - 1).otherwise(last)
+    at = lambda r, extra: F.struct(r.alias("range"), F.lit(extra).alias("extra"))
+    ranges = F.when(F.col("begins"), F.array(at(F.col("own"), False), at(before, True))).otherwise(F.array(at(F.col("own"), False)))
+    dealt = placed.select("key", "text", F.inline(ranges)).repartition(parts, "range")
+    return dealt.sortWithinPartitions("range", "extra", "key", "text")
 
 
 def edited(docs: DataFrame) -> DataFrame:
@@ -227,42 +259,18 @@ def edited(docs: DataFrame) -> DataFrame:
 
     Columns: ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``.
     """
-    schema = pa.schema([*_ARROW, *_OPEN])
-
-    def ends(part: int, end: str, doc_id, text: str) -> pa.RecordBatch:
-        return _batch([[doc_id], *[[None]] * 6, [part], [end], [text]], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, None
-        for piece in slices(batches, most_bytes=1 << 19):
-            ids, texts = piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()
-            own = prints(texts)
-            if held is None:
-                part = piece.column("part")[0].as_py()
-                yield ends(part, "first", ids[0], texts[0])
-            else:
-                ids, texts, own = [held[0], *ids], [held[1], *texts], [held[2], *own]
-            if len(ids) > 1:
-                done = _compared(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:])
-                yield _batch([*done, *[[None] * (len(ids) - 1)] * 3], schema)
-            held = ids[-1], texts[-1], own[-1]
-        if held is not None:
-            yield ends(part, "last", held[0], held[1])
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, most_bytes=1 << 19):
-            ids, texts, following = (piece.column(c).to_pylist() for c in ("doc_id", "text", "following"))
-            yield _batch(_compared(ids, texts, following, prints(texts), prints(following)), _ARROW)
-
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    ordered = rows.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    walked = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, f"{_RESULT}, part int, end string, text string")
-    walked = stored(walked, "fingerprints")
-    first = walked.where("end = 'first'").select("part", F.col("text").alias("following"))
-    last = walked.where("end = 'last'").select("part", "doc_id", "text")
-    # A row per task; the last range is followed by the first.
-    order = Window.orderBy("part")
-    turn = first.select("part", F.lead("part").over(order).alias("next"), F.min("part").over(order).alias("lowest"))
-    turn = turn.select("part", F.coalesce("next", "lowest").alias("next"))
-    pairs = last.join(turn, "part").join(first.withColumnRenamed("part", "next"), "next").select("doc_id", "text", "following")
-    return walked.where("end IS NULL").drop("part", "end", "text").unionByName(pairs.mapInArrow(close, _RESULT))
+        held: list[tuple] = []  # the last document, as long as it waits for the one that follows it
+        for piece in slices(batches, most=1 << 19):
+            rows = list(zip(*(piece.column(c).to_pylist() for c in ("range", "extra", "key", "text")), strict=True))
+            rows = [*held, *[(*row, p) for row, p in zip(rows, prints([r[3] for r in rows]), strict=True)]]
+            pairs = [(a, b) for a, b in zip(rows, rows[1:], strict=False) if not a[1] and a[0] == b[0]]
+            held = [rows[-1]]
+            if pairs:
+                firsts, seconds = zip(*pairs, strict=True)
+                ids = [None if r[2] == _NULL else r[2] for r in firsts]
+                columns = [[r[3] for r in firsts], [r[3] for r in seconds], [r[4] for r in firsts], [r[4] for r in seconds]]
+                yield _compared(ids, *columns)
+
+    return _followed(docs).select("range", "extra", "key", "text").mapInArrow(run, _RESULT)
