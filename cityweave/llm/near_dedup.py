@@ -123,7 +123,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``digest`` of the set, ``buckets`` (a key per band), ``marks`` (a byte per bin)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, most_bytes=1 << 20):
+        for piece in slices(batches, most=1 << 20):
             sets = shingle_sets(piece.column("text").to_pylist())
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             found = [minima(s) for s in sets if len(s)]
@@ -247,11 +247,11 @@ def links(docs: DataFrame, classes: DataFrame, family: DataFrame, percent: int =
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
     most = F.max(F.struct("degree", (-F.col("id")).alias("minus")))
     whole = members.groupBy("family").agg(blocks.alias("blocks"), most.alias("most"))
-    placed = members.hint("merge").join(whole, "family")
+    placed = members.hint("merge").join(stored(whole, "families-whole"), "family")
     placed = placed.select("family", "id", "blocks", (F.col("id") == -F.col("most.minus")).alias("hub"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, most_bytes=1 << 20):
+        for piece in slices(batches, most=1 << 20):
             sets = [s.astype("<u8").tobytes() for s in shingle_sets(piece.column("text").to_pylist())]
             names = ["family", "id", "blocks", "hub"]
             yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in names], pa.array(sets, pa.binary())], [*names, "shingles"])
