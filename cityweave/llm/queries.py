@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +24,7 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the ids of all documents as blocks and reads them back."""
     blocks, ranked = binary_ids.write(table(spark, sf_dir, "documents"), WORD_BPE)
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            checked = pa.array([zlib.crc32(ids.as_buffer()) for ids in batch.column("ids")], pa.int64())
-            names = ["doc_id", "start", "n_tokens"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], checked], [*names, "ids_crc32"])
-
-    return binary_ids.read(blocks, ranked).mapInArrow(digests, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return binary_ids.read_checksums(blocks, ranked)
 
 
 def edited_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
