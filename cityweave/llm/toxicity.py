@@ -8,7 +8,8 @@
    nothing. The cheapest path under the character model is the restored word.
 3. Words and their beginnings of 4 to 6 letters are evidence. A bounded sample of labelled rows gives,
    for each, the documents of either label that hold it; rules are chosen one by one, each for the toxic documents
-   that no rule before it explains, then those that are certain by themselves.
+   that no rule before it explains, then those that are certain by themselves. A beginning that several different words
+   of a text share, and no other text's, is a sign by itself, so that few labels are enough for it.
 4. A text's score is the chance that at least one of its rules is right, over the rate at which texts
    without any are toxic.
 
@@ -38,10 +39,12 @@ from cityweave.llm.common import id_text, slices, stored, text_of
 
 #: Labelled rows that the fit reads, at most, of either label.
 MOST_LABELLED = 4000
-#: Beginnings of words that may be rules, most frequent first.
+#: Words and beginnings that may be rules: those in the most toxic documents of the sample.
 MOST_CANDIDATES = 5000
 #: A rule needs so many toxic documents, and so many that no other rule explains.
 LEAST_DOCUMENTS, LEAST_NEW = 3, 2
+#: Or one, if so many different words of a toxic document begin with it on average.
+BURST = 4
 #: Share of toxic documents among those that hold a rule, at least.
 LEAST_PRECISION = 0.9
 #: From this score on a text is rejected.
@@ -207,24 +210,45 @@ def _sample(labels: DataFrame, most: int) -> DataFrame:
     return stored(lots[0].unionByName(lots[1]).select("doc_id", "toxic"), "labelled")
 
 
-def choose(docs_of: dict[str, tuple[frozenset, int]], toxic: set, weight: float) -> dict[str, float]:
-    """Rules from candidates with their toxic documents and the number of others, which count ``weight`` each."""
-    precision = lambda c: (len(docs_of[c][0]) + 0.5) / (len(docs_of[c][0]) + weight * docs_of[c][1] + 1)
-    good = [c for c, (hits, _) in docs_of.items() if len(hits) >= LEAST_DOCUMENTS and len(hits) >= LEAST_PRECISION * (len(hits) + weight * docs_of[c][1])]
+@dataclass(frozen=True)
+class Candidate:
+    """What speaks for a rule: the toxic documents that hold it, their words that match it, and the number of other documents."""
+
+    documents: frozenset
+    words: int
+    others: float
+
+    @property
+    def bursts(self) -> bool:
+        return self.words >= BURST * len(self.documents)
+
+    @property
+    def precision(self) -> float:
+        return (len(self.documents) + 0.5) / (len(self.documents) + self.others + 1)
+
+    @property
+    def good(self) -> bool:
+        n = len(self.documents)
+        return n > 0 and (n >= LEAST_DOCUMENTS or self.bursts) and n >= LEAST_PRECISION * (n + self.others)
+
+
+def choose(candidates: dict[str, Candidate], toxic: set) -> dict[str, float]:
+    """Rules with the chance that a text that holds one is toxic."""
+    good = {name: c for name, c in candidates.items() if c.good}
     left, rules = set(toxic), {}
     while left and good:
-        new = lambda c: len(docs_of[c][0] & left)
-        best = min(good, key=lambda c: (-new(c) + weight * docs_of[c][1], -len(docs_of[c][0]), len(c), c))
-        if new(best) < LEAST_NEW:
+        new = {name: len(c.documents & left) for name, c in good.items()}
+        good = {name: c for name, c in good.items() if new[name] >= (1 if c.bursts else LEAST_NEW)}
+        if not good:
             break
-        rules[best] = precision(best)
-        left -= docs_of[best][0]
-        good.remove(best)
+        best = min(good, key=lambda name: (good[name].others - new[name], -good[name].words, len(name), name))
+        rules[best] = good[best].precision
+        left -= good.pop(best).documents
     sure = max(8, math.ceil(0.02 * len(toxic)))
-    for c in sorted(good, key=len):
-        begun = any(c.startswith(r) for r in rules if not r.endswith(" "))
-        if len(docs_of[c][0]) >= sure and not docs_of[c][1] and not begun:
-            rules[c] = precision(c)
+    for name, c in sorted(candidates.items(), key=lambda x: (len(x[0]), x[0])):
+        begun = name in rules or any(name.startswith(r) for r in rules if not r.endswith(" "))
+        if c.good and len(c.documents) >= sure and not c.others and not begun:
+            rules[name] = c.precision
     return rules
 
 
@@ -240,23 +264,26 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            seen: list[Counter] = [Counter(), Counter()]
+            seen: list[Counter] = [Counter(), Counter(), Counter()]  # other documents, toxic ones, words of toxic ones
             for toxic, text in zip(piece.column("toxic").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                seen[toxic].update({e for t in tokens(text) for w in words_of(t, costs) for e in evidence(w)})
-            rows = [(e, c, 0) for e, c in seen[1].items()] + [(e, 0, c) for e, c in seen[0].items()]
-            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["candidate", "toxic", "other"])
+                own = Counter(e for w in {w for t in tokens(text) for w in words_of(t, costs)} for e in evidence(w))
+                seen[toxic].update(own.keys())
+                if toxic:
+                    seen[2].update(own)
+            names = list(seen[0].keys() | seen[1].keys())
+            columns = [pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64()) for c in (seen[1], seen[0], seen[2])]]
+            yield pa.RecordBatch.from_arrays(columns, ["candidate", "toxic", "other", "words"])
 
     # The share of either label among all labelled rows that aren't held out.
     full = labels.where(F.col("toxic").isin(0, 1) & ~held_out()).groupBy("toxic").count()
     full = {row["toxic"]: row["count"] for row in full.collect()}
     weight = full[0] / full[1] * sizes[1] / sizes[0]
-    counted = texts.select("toxic", "text").mapInArrow(count, "candidate string, toxic bigint, other bigint")
-    counted = counted.groupBy("candidate").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    likely = (F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + weight * F.col("other")))
-    best = counted.where(likely).orderBy(F.desc("toxic"), "other", "candidate").limit(MOST_CANDIDATES).collect()
-    others = {row.candidate: row.other for row in best}
-    finder = Model(dict.fromkeys(others, 0.0), 0.0, costs)
+    counted = texts.select("toxic", "text").mapInArrow(count, "candidate string, toxic bigint, other bigint, words bigint")
+    counted = counted.groupBy("candidate").agg(*[F.sum(c).alias(c) for c in ("toxic", "other", "words")])
+    held = (F.col("toxic") >= LEAST_DOCUMENTS) | (F.col("words") >= BURST * F.col("toxic"))
+    likely = held & (F.col("toxic") > 0) & (F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + weight * F.col("other")))
+    best = counted.where(likely).orderBy(F.desc("toxic"), F.desc("words"), "other", "candidate").limit(MOST_CANDIDATES).collect()
+    finder = Model({row.candidate: 0.0 for row in best}, 0.0, costs)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -265,11 +292,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     rows = texts.where("toxic = 1").select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, found array<string>").collect()  # the sample's
-    hits: dict[str, set] = {c: set() for c in others}
+    hits: dict[str, set] = {c: set() for c in finder.rules}
     for row in rows:
         for c in row.found:
             hits[c].add(row.doc_id)
-    rules = choose({c: (frozenset(h), others[c]) for c, h in hits.items()}, {row.doc_id for row in rows}, weight)
+    rules = choose({r.candidate: Candidate(frozenset(hits[r.candidate]), r.words, weight * r.other) for r in best}, {row.doc_id for row in rows})
     missed = sum(1 for row in rows if not rules.keys() & set(row.found)) / len(rows)
     odds = (missed * full[1] + 0.5) / (full[0] + full[1] + 1)
     return Model(rules, min(odds, LIMIT / 2), costs)
