@@ -11,40 +11,33 @@ from pyspark.sql import functions as F
 
 from cityweave.functions.columns import field, number
 from cityweave.operators.quantiles import quantiles
-from cityweave.session import checkpoint_root
+from cityweave.session import materialised
 
-# Up to this many levels, with this many bytes of text, are numbered in one task and sent to every executor.
+# Up to this many levels, with this many bytes of text, are sent to every executor; more are joined by shuffle.
 FEW_LEVELS = 100_000
 FEW_BYTES = 64 * 1024 * 1024
 
 
-def _number_rows(levels: DataFrame, order: list[Column], few: int) -> tuple[DataFrame, bool]:
-    """Levels with ``index`` 0.. in the given order, and whether there are few of them.
+def _number_rows(levels: DataFrame, order: list[Column]) -> DataFrame:
+    """Levels with ``index`` 0.. in the given order.
 
-    Many levels are sorted across the cluster and written out once; then each sorted part is
-    numbered on its own, starting where the parts before it end.
+    They are sorted across the cluster and stored; then each sorted part is numbered on its own, starting
+    where the parts before it end.
     """
-    levels = levels.persist()
-    size = levels.agg(F.count("*").alias("levels"), F.sum(F.octet_length(F.col("_level").cast("string"))).alias("bytes")).first()
-    if size["levels"] <= few and (size["bytes"] or 0) <= FEW_BYTES:
-        return levels.withColumn("index", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint")), True
-    checkpoint_root(levels.sparkSession)
-    parts = levels.orderBy(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
-    levels.unpersist()
-    sizes = sorted((r["_part"], r["count"]) for r in parts.groupBy("_part").count().collect())
-    starts, start = [], 0
-    for part, size in sizes:
-        starts += [F.lit(part), F.lit(start)]
-        start += size
+    parts = materialised(levels.orderBy(*order).withColumn("_part", F.spark_partition_id()), "levels")
+    sizes = parts.groupBy("_part").agg(F.count("*").alias("_size"))  # a row per task
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    index = (F.create_map(*starts)[F.col("_part")] + place - 1).cast("bigint")
-    return parts.withColumn("index", index).drop("_part"), False
+    numbered = parts.withColumn("_place", place).join(F.broadcast(starts), "_part")
+    return numbered.withColumn("index", (F.col("_start") + F.col("_place") - 1).cast("bigint")).drop("_part", "_place", "_start")
 
 
 def _encoded(df: DataFrame, column: str, output: str, order: list[Column], few: int) -> DataFrame:
     levels = df.where(field(column).isNotNull()).groupBy(field(column).alias("_level")).agg(F.count("*").alias("_rows"))
-    indexed, small = _number_rows(levels, order, few)
-    indexed = indexed.select("_level", F.col("index").alias(output))
+    indexed = materialised(_number_rows(levels, order).select("_level", F.col("index").alias(output)), "indexed")
+    size = indexed.agg(F.count("*").alias("levels"), F.sum(F.octet_length(F.col("_level").cast("string"))).alias("bytes")).first()
+    small = size["levels"] <= few and (size["bytes"] or 0) <= FEW_BYTES
     return df.join(F.broadcast(indexed) if small else indexed, field(column) == F.col("_level"), "left").drop("_level")
 
 
@@ -64,24 +57,34 @@ def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(number(df, c), F.lit(means[i])) for i, c in enumerate(columns)})
 
 
-def mean_and_variance(df: DataFrame, columns: Sequence[str], filled: bool = False) -> dict[str, tuple[float, float]]:
-    """Mean and population variance per column; with ``filled`` as if gaps held the mean."""
-    measures = []
-    for c in columns:
-        value = number(df, c)
-        measures += [F.avg(value), F.var_pop(value), F.count(value)]
-    row = df.agg(F.count("*").alias("rows"), *[m.alias(f"m{i}") for i, m in enumerate(measures)]).first()
-    result = {}
-    for i, c in enumerate(columns):
-        mean, variance, present = row[1 + 3 * i : 4 + 3 * i]
-        share = present / row["rows"] if filled and row["rows"] else 1.0
-        result[c] = (mean, variance * share) if present else (0.0, 0.0)
-    return result
+def mean_and_variance(
+    df: DataFrame, columns: Sequence[str], filled: bool = False, weight: str | None = None
+) -> dict[str, tuple[float, float]]:
+    """Mean and population variance per column; with ``filled`` as if gaps held the mean.
 
-
-def centre_and_spread(df: DataFrame, columns: Sequence[str], filled: bool = False) -> dict[str, tuple[float, float]]:
+    ``weight`` names a column that tells how often a row counts. Deviations are from the mean of a pass before,
+    as a difference of sums would lose digits.
+    """
+    times = F.lit(1.0) if weight is None else field(weight).cast("double")
+    values = [number(df, c) for c in columns]
+    present = [F.sum(F.when(v.isNotNull(), times)) for v in values]
+    first = [F.sum(times), *present, *[F.sum(v * times) for v in values]]
+    rows, *sums = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(first)]).first()
+    counts, totals = sums[: len(values)], sums[len(values) :]
+    means = [total / n if n else 0.0 for total, n in zip(totals, counts, strict=True)]
+    squares = [F.sum((v - F.lit(m)) * (v - F.lit(m)) * times) for v, m in zip(values, means, strict=True)]
+    spreads = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(squares)]).first() if values else []
+    return {
+        c: (mean, square / (rows if filled else n)) if n else (0.0, 0.0)
+        for c, mean, square, n in zip(columns, means, spreads, counts, strict=True)
+    }
+
+
+def centre_and_spread(
+    df: DataFrame, columns: Sequence[str], filled: bool = False, weight: str | None = None
+) -> dict[str, tuple[float, float]]:
     """Mean and population deviation per column; a constant column keeps unit scale."""
-    return {c: (mean, variance**0.5 or 1.0) for c, (mean, variance) in mean_and_variance(df, columns, filled).items()}
+    return {c: (mean, variance**0.5 or 1.0) for c, (mean, variance) in mean_and_variance(df, columns, filled, weight).items()}
 
 
 def scaled(df: DataFrame, name: str, centre: float, spread: float) -> Column:

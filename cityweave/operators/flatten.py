@@ -39,6 +39,14 @@ def flatten_traffic(raw: DataFrame) -> DataFrame:
     )
 
 
+def first_vertex(coordinates: Column) -> Column:
+    """``struct(lon, lat)`` of the first position in the coordinates of any geometry, as text; nulls where there is none."""
+    number = r"(-?[0-9.]+(?:[eE][-+]?[0-9]+)?)"
+    position = rf"^[\s\[]*{number}\s*,\s*{number}"
+    lon, lat = (F.regexp_extract(coordinates, position, n).try_cast("double") for n in (1, 2))
+    return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+
 def incident_time(df: DataFrame) -> DataFrame:
     """``report_time`` of an incident is its start; start and end text go away."""
     return df.withColumn("report_time", iso_to_naive(F.col("startTime"))).drop("startTime", "endTime")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -37,8 +39,11 @@ def profile_shape(df: DataFrame) -> DataFrame:
 
 
 def profile_duplicates(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of equal rows."""
-    groups = df.groupBy(*[field(c) for c in df.columns]).agg(F.count("*").alias("_copies"))
+    """Rows beyond the first of each group of equal rows. Digests of the rows travel, not the rows."""
+    zero = lambda c: field(c) + F.lit(0.0) if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) else field(c)
+    row = F.to_json(F.struct(*[zero(c).alias(f"c{i}") for i, c in enumerate(df.columns)]))
+    digests = df.select(F.unhex(F.sha2(row, 256)).alias("digest"), F.octet_length(row).alias("bytes"))
+    groups = digests.groupBy("digest", "bytes").agg(F.count("*").alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
@@ -124,7 +129,7 @@ def _lookup(values: dict[str, float], key: Column) -> Column:
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = BINS) -> DataFrame:
     """Counts in ``bins`` equal-width bins per numeric column; the last bin is closed.
 
-    Empty bins are not listed. A constant column has one bin of width 0.
+    Empty bins are listed with a count of 0. A constant column has one bin of width 0.
     """
     columns = list(columns or numeric_columns(df))
     ranges = _ranges(df, columns)
@@ -136,17 +141,21 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = B
         )
     start, step = _lookup(low, F.col("column")), _lookup(width, F.col("column"))
     slot = F.when(step > 0, F.least(F.floor((F.col("value") - start) / F.nullif(step, F.lit(0.0))), F.lit(bins - 1)))
-    return (
+    counts = (
         long_form(df, list(ranges))
         .groupBy("column", F.coalesce(slot, F.lit(0)).cast("int").alias("bin"))
         .agg(F.count("*").alias("count"))
-        .select(
-            "column",
-            "bin",
-            (start + F.col("bin") * step).alias("bin_low"),
-            (start + (F.col("bin") + 1) * step).alias("bin_high"),
-            "count",
-        )
+    )
+    # A row per column and bin, whatever the data.
+    last = F.when(step > 0, F.lit(bins - 1)).otherwise(0)
+    every = df.sparkSession.createDataFrame([(c,) for c in ranges], "column string")
+    every = every.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
+    return every.join(counts, ["column", "bin"], "left").select(
+        "column",
+        "bin",
+        (start + F.col("bin") * step).alias("bin_low"),
+        (start + (F.col("bin") + 1) * step).alias("bin_high"),
+        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
     )
 
 
@@ -156,7 +165,7 @@ def kde_curve(
     """Gaussian density of each numeric column at ``grid`` points from minimum to maximum.
 
     The bandwidth is Scott's, ``n**(-1/5)`` sample deviations. ``exact`` adds up every value at
-    every point; the sums are partial in each task, so ``grid`` rows per column leave it.
+    every point, as a vector of ``grid`` terms a value; the sums are partial in each task, so a vector per column leaves it.
     ``binned`` adds up the centres of ``bins`` fine bins instead, so its cost after one counting
     pass does not grow with the rows. ``height`` is the density on the scale of the 20-bin
     histogram.
@@ -181,11 +190,17 @@ def kde_curve(
     else:
         raise ValueError("mode is exact or binned")
     per_row = weighted.select(key, "weight", "value", low.alias("low"), step.alias("step"), band.alias("band"))
-    points = per_row.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-    away = (F.col("low") + F.col("point") * F.col("step") - F.col("value")) / F.col("band")
+    first, apart = (F.col("low") - F.col("value")) / F.col("band"), F.col("step") / F.col("band")
+    scaled = per_row.select("column", F.col("weight").cast("double").alias("weight"), first.alias("first"), apart.alias("apart"))
+
+    def term(at: Column) -> Column:
+        away = F.col("first") + at * F.col("apart")
+        return F.col("weight") * F.exp(-0.5 * away * away)
+
+    terms = scaled.select("column", array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), term)).alias("terms"))
+    mass = terms.groupBy("column").agg(vector_to_array(Summarizer.sum(F.col("terms"))).alias("mass"))
     return (
-        points.groupBy("column", "point")
-        .agg(F.sum(F.col("weight") * F.exp(-0.5 * away * away)).alias("mass"))
+        mass.select("column", F.posexplode("mass").alias("point", "mass"))
         .select(
             "column",
             "point",

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cityweave.functions.columns import is_missing, quoted
@@ -48,10 +48,20 @@ def evaluate_rules(df: DataFrame, rules: Sequence[tuple] = DEFAULT_RULES) -> Dat
     return measured.select(F.inline(F.array(*rows)))
 
 
-def observed(df: DataFrame, rules: Sequence[tuple] = DEFAULT_RULES, name: str = "quality") -> DataFrame:
+def outcomes(spark: SparkSession, rules: Sequence[tuple], measured: Mapping[str, float]) -> DataFrame:
+    """What ``evaluate_rules`` gives, from measures that were gathered by ``observed``."""
+    rows = []
+    for measure, test, bound in rules:
+        actual = float(measured[_name(measure, test, bound)])
+        rows.append((_name(measure, test, bound), "Passed" if _TESTS[test](actual, float(bound)) else "Failed", actual))
+    return spark.createDataFrame(rows, "rule string, outcome string, actual double")
+
+
+def observed(df: DataFrame, rules: Sequence[tuple] = DEFAULT_RULES, name: str | Observation = "quality") -> DataFrame:
     """The frame itself; the rules' measures are gathered while it is written, at no extra pass.
 
-    Works on streams, where a query's progress reports them per batch under ``name``.
+    Works on streams, where a query's progress reports them per batch under ``name``. With an ``Observation``
+    the caller reads them after a batch write.
     """
     measures = [_measure(df, m).alias(_name(m, test, bound)) for m, test, bound in rules]
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *measures)

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from cityweave.functions.columns import field
+from cityweave.session import materialised
 
 
 def group_moments(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -31,53 +29,19 @@ def group_moments(df: DataFrame, features: Sequence[str], target: str) -> DataFr
     )
 
 
-def _tail_function():
-    """P(F > f) as a pandas UDF, for one row per feature.
+# From so many degrees of freedom within the groups on, F is a chi-square to seven digits, while the
+# argument of the beta function is too close to 1 for a double.
+MANY = 10**10
 
-    Built in a closure so that it travels to the executors by value.
-    """
 
-    def beta_fraction(a: float, b: float, x: float) -> float:
-        """Lentz's evaluation of the continued fraction of the incomplete beta function."""
-        tiny = 1e-300
-        value, c, d = 1.0, 1.0, 0.0
-        for i in range(20_000):
-            m = i // 2
-            if i == 0:
-                term = 1.0
-            elif i % 2 == 0:
-                term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-            else:
-                term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-            d = 1 / (1 + term * d or tiny)
-            c = 1 + term / c or tiny
-            value *= c * d
-            if abs(1 - c * d) < 1e-15:
-                break
-        return value - 1
-
-    def share(a: float, b: float, x: float, rest: float) -> float:
-        """Regularised incomplete beta function at x, where rest = 1 - x."""
-        if x <= 0:
-            return 0.0
-        if rest <= 0:
-            return 1.0
-        log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(rest)
-        if x < (a + 1) / (a + b + 2):
-            return math.exp(log_front) / a * beta_fraction(a, b, x)
-        return 1 - math.exp(log_front) / b * beta_fraction(b, a, rest)
-
-    def tail(f, d1, d2):
-        if pd.isna(f):
-            return None
-        whole = d2 + d1 * f
-        return share(d2 / 2, d1 / 2, d2 / whole, d1 * f / whole)
-
-    @F.pandas_udf(DoubleType())
-    def upper_tail(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-        return pd.Series([tail(*row) for row in zip(f, d1, d2)], dtype="float64")
-
-    return upper_tail
+def _upper_tail(spark: SparkSession, f: float | None, d1: int, d2: int) -> float | None:
+    """P(F > f), by the special functions of the library that Spark brings along."""
+    if f is None or f <= 0:
+        return None if f is None else 1.0
+    special = spark._jvm.org.apache.commons.math3.special
+    if d2 > MANY:
+        return special.Gamma.regularizedGammaQ(d1 / 2, d1 * f / 2)
+    return special.Beta.regularizedBeta(d2 / (d2 + d1 * f), d2 / 2, d1 / 2)
 
 
 def anova_f(df: DataFrame, features: Sequence[str], target: str, level: float = 0.05) -> DataFrame:
@@ -86,7 +50,7 @@ def anova_f(df: DataFrame, features: Sequence[str], target: str, level: float =
     A feature with a single level is left out. The statistic is null when no level repeats or
     when the target does not vary inside the levels.
     """
-    groups = group_moments(df, features, target)
+    groups = materialised(group_moments(df, features, target), "moments")  # a row per level, read twice
     # At most one row per feature, whatever the data.
     overall = groups.groupBy("feature").agg(
         F.count("*").alias("k"), F.sum("n").alias("total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand")
@@ -104,9 +68,13 @@ def anova_f(df: DataFrame, features: Sequence[str], target: str, level: float =
         (F.col("total") > F.col("k")) & (F.col("within") > 0),
         (F.col("between") / (F.col("k") - 1)) / (F.col("within") / F.nullif(F.col("total") - F.col("k"), F.lit(0))),
     )
-    tested = sums.select("feature", "k", F.col("total").alias("n"), statistic.alias("f_stat"))
-    tested = tested.withColumn("p_value", _tail_function()("f_stat", F.col("k") - 1, F.col("n") - F.col("k")))
-    return tested.withColumn("significant", F.coalesce(F.col("p_value") < level, F.lit(False)))
+    tested = sums.select("feature", "k", F.col("total").alias("n"), statistic.alias("f_stat")).collect()  # a row per feature
+    spark = df.sparkSession
+    rows = []
+    for row in tested:
+        p = _upper_tail(spark, row.f_stat, row.k - 1, row.n - row.k)
+        rows.append((*row, p, p is not None and p < level))
+    return spark.createDataFrame(rows, "feature string, k bigint, n bigint, f_stat double, p_value double, significant boolean")
 
 
 def significant_features(df: DataFrame, features: Sequence[str], target: str, level: float = 0.05) -> DataFrame:

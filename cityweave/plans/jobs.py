@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from cityweave.functions.timeparts import split_report_time
 from cityweave.functions.values import CITY_ALIASES, resolve_choice
-from cityweave.operators.align import align_topics
-from cityweave.operators.clean import clean_rows
-from cityweave.operators.cluster import fit_pollution
+from cityweave.operators.align import align_counted
+from cityweave.operators.clean import clean_rows, dropna_any
+from cityweave.operators.cluster import PollutionModel, fit_pollution
 from cityweave.operators.features import hash_split
 from cityweave.operators.flatten import drop_columns, flatten_air, flatten_traffic, flatten_weather, incident_time
 from cityweave.operators.models import KINDS, Trained, load_model, score, train
-from cityweave.session import spread, work_path
+from cityweave.session import materialised
 
 
 def clean_air(raw: DataFrame, source_tz: str = "UTC") -> DataFrame:
@@ -55,26 +55,26 @@ def topic_jobs(raws: Mapping[str, DataFrame], source_tz: Mapping[str, str] | Non
     return {topic: topic_job(raw, topic, zones.get(topic, "UTC")) for topic, raw in raws.items()}
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder and read back: survives lost executors, computed once."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def combine_job(
-    traffic: DataFrame, weather: DataFrame, air: DataFrame, bucket_minutes: int = 1, aliases=CITY_ALIASES, **clustering
+    traffic: DataFrame,
+    weather: DataFrame,
+    air: DataFrame,
+    bucket_minutes: int = 1,
+    aliases=CITY_ALIASES,
+    model: PollutionModel | None = None,
+    **clustering,
 ) -> DataFrame:
     """Clean topics -> aligned rows with a pollution level, without repeats and gaps.
 
-    Rows with gaps take part in the clustering and go afterwards. The level depends on the row
-    alone, so it is worked out last, for the rows that stay.
+    Combinations that repeat are one row that counts as often in the clustering, so nothing is left to
+    remove after the join. Rows with gaps take part in the clustering and go afterwards. The level depends
+    on the row alone, so it is worked out last, for the rows that stay. ``model`` gives levels without a fit.
     """
     if traffic.schema["length"].dataType.typeName() == "struct":
         traffic = traffic.withColumn("length", resolve_choice(traffic["length"]))
-    aligned = spread(materialised(align_topics(traffic, weather, air, bucket_minutes, aliases), "aligned"))
-    model = fit_pollution(aligned, **clustering)
-    combined = model.label(clean_rows(aligned))
+    aligned = materialised(align_counted(traffic, weather, air, bucket_minutes, aliases), "aligned")
+    model = model or fit_pollution(aligned, weight="copies", **clustering)
+    combined = model.label(dropna_any(aligned.drop("copies")))
     # Without the test the filter is not there to be pushed down, which would work out levels twice.
     return combined if model.names_all() else combined.where(F.col("pollution_level").isNotNull())
 
@@ -83,7 +83,7 @@ def train_job(combined: DataFrame, kind: str, split_keys: tuple[str, ...] = ("_i
     """80/20 split by key, fit, metrics of both parts."""
     if kind not in KINDS:
         raise ValueError(f"kind is one of {KINDS}")
-    train_df, test_df = hash_split(combined, *split_keys)
+    train_df, test_df = hash_split(materialised(combined, "to-train"), *split_keys)
     return train(train_df, test_df, kind, exclude)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, LongType, StringType, StructType
 
-TOPICS = ("air", "traffic", "weather")
 KEYS = ("date", "city", "hour", "minute")
 PARTITION_LEVELS = ("partition_0", "partition_1", "partition_2", "partition_3")
 
@@ -20,12 +19,17 @@ def struct(**fields: DataType) -> StructType:
 
 # Field names of the feeds; they have to equal those the feeds send.
 _QUALITY = {"us-epa-index": INT, "gb-defra-index": INT}
+_TMC = struct(
+    countryCode=TEXT, tableNumber=TEXT, tableVersion=TEXT, direction=TEXT, points=ArrayType(struct(location=INT, offset=INT))
+)
 _INCIDENT = struct(
     type=TEXT,
     geometry=struct(type=TEXT, coordinates=TEXT),
     properties=struct(
         id=TEXT, city=TEXT, iconCategory=INT, magnitudeOfDelay=INT, startTime=TEXT, endTime=TEXT,
         length=REAL, delay=INT, events=ArrayType(struct(code=INT, description=TEXT, iconCategory=INT)),
+        **{"from": TEXT, "to": TEXT}, roadNumbers=ArrayType(TEXT), timeValidity=TEXT, probabilityOfOccurrence=TEXT,
+        numberOfReports=INT, lastReportTime=TEXT, tmc=_TMC,
     ),
 )
 

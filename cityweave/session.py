@@ -1,4 +1,4 @@
-"""Session settings and the shared work folder."""
+"""Session settings, the shared work folder, stored tables."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,11 +59,19 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan of few files shared out among all cores, for work that passes over it many times.
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder and read back: survives lost executors, computed once."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    A table that already has a partition per core, as any large one has, is left alone. Only for
-    frames without a shuffle, whose number of partitions is known before they run.
+
+def by_content(df: DataFrame, rows_per_part: int = 250_000) -> DataFrame:
+    """A stored table dealt out by its rows' values, in a fixed order, into parts whose number follows from the row count.
+
+    What goes by partition, as the start of a clustering and the bags of a forest do, then depends on the
+    rows alone, neither on the files nor on the number of cores.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    parts = max(1, -(-df.count() // rows_per_part))
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    return df.repartition(parts, *columns).sortWithinPartitions(*columns)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
-from cityweave.operators.quality import DEFAULT_RULES, evaluate_rules
+from cityweave.operators.quality import DEFAULT_RULES, observed, outcomes
+from cityweave.session import materialised
 
 # Fixed value: records per upload of the incident feed.
 UPLOAD_RECORDS = 100
@@ -42,16 +42,13 @@ def fan_out(
 ) -> DataFrame:
     """Document sink, quality rules and file sink of one frame that is computed once.
 
-    Returns the rule outcomes. A failed rule does not stop the write.
+    The frame is stored in the shared folder; the rules' measures are gathered during that write, at
+    no pass of their own. Returns the rule outcomes. A failed rule does not stop a write.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if documents is not None:
-            write_documents(df, *documents)
-        outcome = evaluate_rules(df, rules)
-        rows = outcome.collect()  # one row per rule
-        if json_path is not None:
-            write_json(df, json_path)
-        return df.sparkSession.createDataFrame(rows, outcome.schema)
-    finally:
-        df.unpersist()
+    measured = Observation("quality")
+    df = materialised(observed(df, rules, measured), "fan-out")
+    if documents is not None:
+        write_documents(df, *documents)
+    if json_path is not None:
+        write_json(df, json_path)
+    return outcomes(df.sparkSession, rules, measured.get)

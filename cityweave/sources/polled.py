@@ -28,7 +28,7 @@ class PollReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.fetch = options["fetch"]
         self.locations = json.loads(options["locations"])
-        self.interval = float(options.get("interval", 15))
+        self.interval = float(options.get("interval") or POLL_SECONDS[options["topic"]])
 
     def initialOffset(self) -> dict:
         return {"tick": 0}
@@ -55,7 +55,7 @@ class PolledFeed(DataSource):
 
     - ``fetch``: ``module:function`` from location to JSON text, importable on the executors;
     - ``locations``: JSON list of location names;
-    - ``interval``: seconds between polls.
+    - ``interval``: seconds between polls; by default those of ``topic``, one of air, weather and traffic.
     """
 
     @classmethod

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from cityweave.functions.columns import field
-from cityweave.functions.timeparts import iso_to_naive
+from cityweave.functions.timeparts import iso_to_naive, utc_clock
 from cityweave.functions.values import CITY_ALIASES, normalise_city
 from cityweave.operators.clean import latest_per_key
 
 # Fixed value: seconds between uploads of buffered incidents.
 FLUSH_SECONDS = 300
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_starting = threading.Lock()
+
 Trigger = Mapping[str, object]
 DRAIN: Trigger = {"availableNow": True}
 
@@ -32,9 +39,8 @@ def start_files(
     """Append to files. Each record lands once, also when the query stops and starts again.
 
     ``DRAIN`` takes what has arrived since the last run and ends, like a job with a bookmark.
-    ``state_partitions`` is the number of parts that state is kept in; the first start of a
-    query fixes it for as long as its checkpoint lives. Unset, it is the session's number of
-    shuffle partitions.
+    ``state_partitions`` is the number of parts that state is kept in, on disk; the first start of a
+    query fixes it for as long as its checkpoint lives. Unset, number and store are the session's.
     """
     writer = stream.writeStream.format(format).option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
@@ -42,13 +48,17 @@ def start_files(
     writer = writer.outputMode("append").trigger(**trigger)
     if state_partitions is None:
         return writer.start()
-    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(state_partitions))
-    try:
-        return writer.start()  # a started query keeps its own copy of the settings
-    finally:
-        conf.set(key, before)
+    conf = stream.sparkSession.conf
+    wanted = {"spark.sql.shuffle.partitions": str(state_partitions), _STORE: _ROCKS}
+    with _starting:  # one at a time, as the settings are the session's
+        before = {key: conf.get(key) for key in wanted}
+        for key, value in wanted.items():
+            conf.set(key, value)
+        try:
+            return writer.start()  # a started query keeps its own copy of the settings
+        finally:
+            for key, value in before.items():
+                conf.set(key, value)
 
 
 def start_batches(
@@ -66,21 +76,62 @@ def start_batches(
     )
 
 
-def upsert_sink(path: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
+def upsert_sink(path: str, key: str, order: str, compact_every: int = 0) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that keeps one row per key of each batch.
 
-    A batch owns the folder ``batch=<id>`` and overwrites it when it is run again. Nothing that
-    earlier batches wrote is rewritten; ``read_upserted`` picks the survivor.
+    A batch owns the folder ``batches/batch=<id>`` and overwrites it when it is run again. Nothing that
+    earlier batches wrote is rewritten; ``read_upserted`` picks the survivor. Every ``compact_every``
+    batches, all that came so far is brought down to a row per key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        latest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/batches/batch={batch_id}")
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_upserted(batch.sparkSession, path, key, order, batch_id)
 
     return write
 
 
-def read_upserted(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
-    return latest_per_key(spark.read.parquet(path).drop("batch"), key, order)
+def _parts(spark: SparkSession, path: str, level: str) -> DataFrame | None:
+    """A folder of numbered parts, None as long as there is none."""
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return found if level in found.columns else None
+
+
+def _upserted(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame | None:
+    """The rows of the last compaction and of the batches after it, in no order."""
+    batches, base = _parts(spark, f"{path}/batches", "batch"), _parts(spark, f"{path}/compacted", "upto")
+    if batches is None:
+        return None
+    if upto is not None:
+        batches = batches.where(F.col("batch") <= upto)
+        base = None if base is None else base.where(F.col("upto") < upto)
+    last = None if base is None else base.agg(F.max("upto")).first()[0]  # folder names only
+    if last is None:
+        return batches.drop("batch")
+    return batches.where(F.col("batch") > last).drop("batch").unionByName(base.where(F.col("upto") == last).drop("upto"))
+
+
+def compact_upserted(spark: SparkSession, path: str, key: str, order: str, upto: int) -> None:
+    """Brings all batches up to number ``upto`` down to one row per key; run again, it gives the same folder."""
+    rows = _upserted(spark, path, upto)
+    if rows is not None:
+        latest_per_key(rows, key, order).write.mode("overwrite").parquet(f"{path}/compacted/upto={upto}")
+
+
+def read_upserted(spark: SparkSession, path: str, key: str, order: str, schema: StructType | None = None) -> DataFrame:
+    """The surviving row of each key; no rows of ``schema`` as long as no batch came."""
+    rows = _upserted(spark, path)
+    if rows is None:
+        if schema is None:
+            raise ValueError("no batch came yet; give the schema")
+        return spark.createDataFrame([], schema)
+    return latest_per_key(rows, key, order)
 
 
 def stream_dedupe(stream: DataFrame, event_time: str, delay: str, keys: Sequence[str] | None = None) -> DataFrame:
@@ -96,11 +147,16 @@ def stream_dedupe(stream: DataFrame, event_time: str, delay: str, keys: Sequence
 
 
 def with_event_time(flat: DataFrame, source: str = "report_time", output: str = "event_ts") -> DataFrame:
-    """Event time as ``timestamp``, the type watermarks need, from clock text, ISO text or a clock."""
-    value = field(source)
-    if flat.schema[source].dataType.typeName() == "string":
+    """Event time as ``timestamp``, the type watermarks need, from clock text, ISO text or a clock.
+
+    Clocks are UTC, whatever the session's zone.
+    """
+    value, kind = field(source), flat.schema[source].dataType.typeName()
+    if kind == "string":
         value = iso_to_naive(value)
-    return flat.withColumn(output, value.cast("timestamp"))
+    if kind != "timestamp":
+        value = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), value))
+    return flat.withColumn(output, value)
 
 
 def stream_align(
@@ -111,25 +167,27 @@ def stream_align(
     delay: str = "10 minutes",
     event_time: str = "event_ts",
     aliases=CITY_ALIASES,
+    cuts: int = 1,
 ) -> DataFrame:
-    """Rows of three streams that share city and time bucket.
+    """Rows of three streams that share city and time bucket, each combination of distinct rows once.
 
-    Every side has a watermark and the bucket is part of the join key, so the join forgets a
-    bucket once all sides have passed it.
+    Repeats go first, as the batch jobs' clean step does. Every side has a watermark and the bucket is part of
+    the join key, so the join forgets a bucket once all sides have passed it. With ``cuts`` the traffic
+    of a key is dealt into so many parts and the other sides are copied to each, so that a key's
+    state is spread over as many tasks.
     """
     if bucket_minutes < 1 or 1440 % bucket_minutes:
         raise ValueError("bucket_minutes has to divide the 1440 minutes of a day")
     size = f"{bucket_minutes} minutes"
     sides = []
     for topic in (traffic, weather, air):
-        timed = normalise_city(topic, aliases=aliases).withWatermark(event_time, delay)
-        sides.append(timed.withColumn("bucket", F.window(event_time, size)).drop(event_time))
-    joined = sides[0].join(sides[1], ["city", "bucket"]).join(sides[2], ["city", "bucket"])
-    start = F.col("bucket")["start"]
+        timed = stream_dedupe(normalise_city(topic, aliases=aliases), event_time, delay)
+        own = F.pmod(F.xxhash64(*[field(c) for c in timed.columns]), F.lit(cuts)).cast("int")
+        cut = F.explode(F.sequence(F.lit(0), F.lit(cuts - 1))) if sides else own
+        sides.append(timed.withColumn("cut", cut).withColumn("bucket", F.window(event_time, size)).drop(event_time))
+    keys = ["city", "bucket", "cut"]
+    joined = sides[0].join(sides[1], keys).join(sides[2], keys)
+    clock = utc_clock(F.col("bucket")["start"])
     return joined.withColumns(
-        {
-            "date": F.date_format(start, "yyyy-MM-dd"),
-            "hour": F.hour(start),
-            "minute": F.minute(start),
-        }
-    ).drop("bucket")
+        {"date": F.date_format(clock, "yyyy-MM-dd"), "hour": F.hour(clock), "minute": F.minute(clock)}
+    ).drop("bucket", "cut")

@@ -1,5 +1,6 @@
 """The edge cases of FIXTURES.md on hand-made rows."""
 
+import json
 import math
 
 import pytest
@@ -237,8 +238,7 @@ def test_anova(spark):
 
 def test_p_values_equal_the_f_distribution(spark):
     cases = [(0.5681, 4, 14995), (3.0, 2, 10), (12.5, 1, 3), (0.01, 7, 2), (1.0, 30, 1000000), (250.0, 3, 50), (0.999, 1, 1)]
-    df = spark.createDataFrame([(float(f), float(a), float(b)) for f, a, b in cases], "f double, a double, b double")
-    ours = column(df.select(stats._tail_function()("f", "a", "b").alias("p")), "p")
+    ours = [stats._upper_tail(spark, f, a, b) for f, a, b in cases]
     package = spark._jvm.org.apache.commons.math3.distribution
     for (f, a, b), p in zip(cases, ours):
         assert p == pytest.approx(1 - package.FDistribution(float(a), float(b)).cumulativeProbability(float(f)), abs=1e-9)
@@ -326,3 +326,21 @@ def test_long_level_texts_are_not_broadcast(spark, monkeypatch):
 def test_a_collection_of_topics(spark):
     raws = {"traffic": _traffic(spark)}
     assert jobs.topic_jobs(raws)["traffic"].count() == 1
+
+
+def test_first_vertex_of_any_geometry(spark):
+    texts = ["[106.68, 10.77]", "[[1e2,-2.5],[3,4]]", "[[[ 7 , 8 ]]]", "[]", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "c string").select(flatten.first_vertex(F.col("c")).alias("v")).collect()
+    assert [(r.v.lon, r.v.lat) for r in rows] == [(106.68, 10.77), (100.0, -2.5), (7.0, 8.0), (None, None), (None, None), (None, None)]
+
+
+def test_incidents_keep_all_their_fields(spark, tmp_path):
+    incident = {
+        "_id": "1", "type": "Feature", "geometry": {"type": "Point", "coordinates": [1.5, 2]},
+        "properties": {"id": "1", "from": "a", "to": "b", "roadNumbers": ["A1"], "timeValidity": "present", "probabilityOfOccurrence": "certain",
+                       "numberOfReports": 3, "lastReportTime": "t", "tmc": {"countryCode": "VN", "points": [{"location": 1, "offset": 2}]}},
+    }
+    (tmp_path / "in.json").write_text(json.dumps(incident))
+    raw = read_topic(spark, "traffic", str(tmp_path))
+    back = json.loads(raw.select(F.to_json(F.struct("_id", "type", "geometry", "properties")).alias("j")).first().j)
+    assert back["properties"] == incident["properties"] and back["geometry"]["coordinates"] == "[1.5,2]"

@@ -118,3 +118,63 @@ def test_unmatched_cities(spark):
 
     rows = align.unmatched_cities(topic("Hanoi", "Ho Chi Minh City"), topic("Ha Noi", "Ho Chi Minh"), topic("ha noi")).collect()
     assert {(r["city"], r["topics"]) for r in rows} == {("ho chi minh city", 1), ("ho chi minh", 1)}
+
+
+def test_repeats_are_counted_before_they_meet(spark):
+    """A bucket in which every side repeats one reading a hundred times: one combination, a million times."""
+
+    def topic(**columns):
+        value = ", ".join(f"{v} AS {k}" for k, v in columns.items())
+        return spark.range(100).selectExpr("'Hanoi' AS city", "'2025-01-01' AS date", "concat('10:00:', lpad(id % 60, 2, '0')) AS time", value)
+
+    topics = [topic(t="1"), topic(w="id % 2"), topic(a="3")]
+    each = align.align_counted(*topics, bucket_minutes=60, cell_rows=10, share=10).collect()
+    assert sorted((r.t, r.w, r.a, r.copies) for r in each) == [(1, 0, 3, 500_000), (1, 1, 3, 500_000)]
+    assert align.align_topics(*topics, bucket_minutes=60).count() == 1_000_000
+
+
+def test_hot_key_of_rows_that_repeat_is_cut_as_planned(spark):
+    rows = [("d", "hot", 1, 0, i % 40) for i in range(400)]
+    sides = [align.counted(spark.createDataFrame(rows, f"date string, city string, hour int, minute int, {n} int"), f"c{n}") for n in "tw"]
+    cells = align.hot_cells(sides, cell_rows=100, share=10)
+    row = cells.first()
+    assert row.s0 * row.s1 >= 16
+    salted = align._salted(sides[0], cells, 0, 2)
+    assert max(r["count"] for r in salted.groupBy("p0", "p1").count().collect()) <= 4 * 40 / row.s0
+
+
+def test_nothing_is_shuffled_after_the_alignment(spark, sf_dir):
+    text = plan(feeds.fixed_model().label(clean.dropna_any(align.align_counted(*feeds.stored(spark, sf_dir), bucket_minutes=240))))
+    joins = text.index("Join")
+    assert "Exchange" not in text[:joins] and "Aggregate" not in text[:joins]
+
+
+def test_densities_need_no_row_per_point(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    text = plan(profile.kde_curve(df, ["x"]))
+    assert text.count("Generate") == 2  # the columns before the sums, the points after them
+    assert "Generate" not in text[text.index("Aggregate") : text.rindex("Aggregate")]
+
+
+def test_digests_travel_to_count_duplicates(spark):
+    df = spark.createDataFrame([("a", 0.0, None), ("a", -0.0, None), ("a", 0.0, "x"), (None, 0.0, "x"), (None, 0.0, "x")], "t string, d double, u string")
+    assert profile.profile_duplicates(df).first()[0] == 2
+    assert "hashpartitioning(digest" in plan(profile.profile_duplicates(df))
+
+
+def test_levels_are_numbered_alike_however_they_are_joined(spark):
+    from cityweave.operators import features
+
+    df = spark.range(3000).select(F.concat(F.lit("v"), (F.col("id") * 7919 % 211).cast("string")).alias("v"))
+    for encode in (features.label_encode, features.string_index):
+        few, many = (sorted(map(tuple, encode(df, "v", "n", few=n).collect())) for n in (1000, 1))
+        assert few == many and {n for _, n in few} == set(range(211))
+
+
+def test_tail_of_a_large_sample(spark):
+    from cityweave.operators.stats import _upper_tail
+
+    # With two degrees of freedom the tail is (1 + 2 f / d2) ** (-d2 / 2).
+    for d2 in (10, 10**6, 10**12, 10**13):
+        for f in (0.1, 1.0, 3.0, 30.0):
+            assert _upper_tail(spark, f, 2, d2) == pytest.approx(np.exp(-d2 / 2 * np.log1p(2 * f / d2)), rel=1e-5)

@@ -99,8 +99,53 @@ def test_a_missed_poll_is_not_made_up():
     assert reader.partitions({"tick": 9}, {"tick": 9}) == []
 
 
+def test_a_topic_has_its_own_interval():
+    options = {"fetch": "fake_feed:fetch", "locations": "[]"}
+    assert [PollReader({**options, "topic": t}).interval for t in ("air", "weather", "traffic")] == [15, 15, 60]
+
+
 def test_event_time_from_each_kind_of_text(spark):
     df = spark.createDataFrame([("2025-01-01 10:00:00",), ("2025-01-01T10:00:00Z",), ("2025-01-01T17:00:00+07:00",)], "report_time string")
     got = {str(r["event_ts"]) for r in flows.with_event_time(df).select(F.col("event_ts").cast("string").alias("event_ts")).collect()}
     assert got == {"2025-01-01 10:00:00"}
     assert "report_time" in RAW["air"].names
+
+
+def test_alignment_is_the_batch_one_in_another_zone(spark, tmp_path):
+    """Clocks are UTC in a session of +07:00 too, buckets of four hours begin where the batch has them, repeats go."""
+    from cityweave.operators import align
+    from cityweave.operators.clean import clean_rows
+    from cityweave.functions.timeparts import split_report_time
+
+    times = ["2025-01-01 23:30:00", "2025-01-02 01:00:00", "2025-01-02 03:59:59", "2025-01-02 04:00:00"]
+    topics = {n: [("Hanoi", t, i) for i, t in enumerate(times)] * 2 for n in "twa"}
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+    try:
+        streams, batches = [], []
+        for n, rows in topics.items():
+            df = spark.createDataFrame(rows, f"city string, report_time string, {n} int")
+            df.write.parquet(str(tmp_path / n))
+            streams.append(flows.with_event_time(spark.readStream.schema(df.schema).parquet(str(tmp_path / n))).drop("report_time"))
+            batches.append(clean_rows(split_report_time(df)))
+        joined = flows.stream_align(*streams, bucket_minutes=240, delay="10 days", cuts=3)
+        flows.start_files(joined, str(tmp_path / "out"), str(tmp_path / "state"), state_partitions=2).awaitTermination()
+        columns = ["date", "city", "hour", "minute", "t", "w", "a"]
+        got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(columns).collect()))
+        assert got == sorted(map(tuple, align.align_topics(*batches, bucket_minutes=240).select(columns).collect()))
+        assert len(got) == 1 + 2**3 + 1 and ("2025-01-02", "ha noi", 0, 0, 1, 2, 1) in got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_compaction_keeps_a_row_per_key(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "_id string, report_time string, v int"
+    first = spark.createDataFrame([], schema)
+    assert flows.read_upserted(spark, path, "_id", "report_time", first.schema).count() == 0
+    write = flows.upsert_sink(path, "_id", "report_time", compact_every=2)
+    for n in range(5):
+        for _ in range(2):  # each batch is run again
+            write(spark.createDataFrame([("a", str(n), n), (f"b{n}", "0", n)], schema), n)
+    rows = flows.read_upserted(spark, path, "_id", "report_time").collect()
+    assert {(r["_id"], r["v"]) for r in rows} == {("a", 4), *((f"b{n}", n) for n in range(5))}
+    assert spark.read.parquet(f"{path}/compacted/upto=3").count() == 5

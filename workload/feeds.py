@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cityweave.operators.align import align_topics
 from cityweave.operators.clean import parse_records, valid_records
+from cityweave.operators.cluster import PollutionModel, level_order
 from cityweave.plans.jobs import combine_job, materialised, topic_job
 from cityweave.schemas import PARTITION_LEVELS, RAW
 
@@ -36,6 +37,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _incident() -> dict[str, Column]:
     k = F.col("k")
+    lon, lat = (_pick(F.col("user_id") % 3, *x) for x in (("105.65", "108.2", "106.68"), ("20.97", "16.13", "10.77")))
+    # Every seventh incident lies east of its city.
+    lon = F.when(F.col("event_id") % 7 == 0, "-1e1").otherwise(lon)
+    vertex = F.concat(F.lit("["), lon, F.lit(","), lat, F.lit("]"))
 
     def event(base: int) -> Column:
         code = (base + F.col("event_id") % 7).cast("int")
@@ -47,7 +52,10 @@ def _incident() -> dict[str, Column]:
 
     return {
         "type": F.lit("Feature"),
-        "geometry": F.struct(F.lit("Point").alias("type"), F.concat(F.lit("["), k.cast("string"), F.lit("]")).alias("coordinates")),
+        "geometry": F.struct(
+            F.when(F.col("event_id") % 2 == 0, "Point").otherwise("LineString").alias("type"),
+            F.when(F.col("event_id") % 2 == 0, vertex).otherwise(F.concat(F.lit("[ "), vertex, F.lit(", [0, 0.5]]"))).alias("coordinates"),
+        ),
         "properties": F.struct(
             F.col("event_id").cast("string").alias("id"),
             F.col("city"),
@@ -150,12 +158,22 @@ def aligned(spark: SparkSession, sf_dir: str, bucket_minutes: int) -> DataFrame:
     return align_topics(*stored(spark, sf_dir), bucket_minutes)
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+# A model that was fitted elsewhere, so that levels can be repeated in SQL.
+STATS = {
+    "humidity": (50.5, 28.7), "pressure": (1009.4, 5.8), "temperature": (294.6, 8.7), "wind_speed": (5.1, 2.9),
+    "magnitudeOfDelay": (2.1, 1.4), "pm10": (50.3, 28.9), "pm2_5": (3.4, 1.7), "co": (503.0, 289.0), "so2": (10.1, 5.8), "o3": (49.7, 28.8),
+}
+CENTRES = [
+    [0.11, -0.23, 0.31, 0.07, 0.43, 0.83, 0.37, 0.79, 0.81, 0.29],
+    [-0.17, 0.41, -0.13, 0.57, -0.61, -0.47, 0.53, -0.43, -0.51, 0.67],
+    [0.19, -0.37, -0.29, -0.71, 0.23, -0.59, -0.83, -0.61, -0.53, -0.89],
+]
+
+
+def fixed_model() -> PollutionModel:
+    return PollutionModel(tuple(STATS), STATS, CENTRES, level_order(CENTRES))
 
 
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled table that training reads, built once per session and stored."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = materialised(combine_job(*stored(spark, sf_dir), bucket_minutes=60), "combined")
-    return _TABLES[key]
+    """The labelled table that training reads, with levels by the fixed model; built anew by each call."""
+    return materialised(combine_job(*stored(spark, sf_dir), bucket_minutes=60, model=fixed_model()), "combined")

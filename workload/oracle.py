@@ -91,6 +91,10 @@ LINEITEM = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+LINEITEM_TYPES = {
+    **dict.fromkeys(("l_orderkey", "l_partkey", "l_suppkey"), "bigint"), "l_linenumber": "int",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
 LINEITEM_TEXT = {"l_returnflag", "l_linestatus", "l_shipdate"}
 
 
@@ -131,12 +135,11 @@ FROM (SELECT {c} AS x FROM {WEIGHTED}),
 
 
 def _histogram(name: str, source: str) -> str:
-    return f"""SELECT '{name}' AS "column", bin, round(lo + bin * w, 4) AS bin_low, round(lo + (bin + 1) * w, 4) AS bin_high,
-       count(*) AS count
-FROM (SELECT CAST(least(floor((x - lo) / w), 19) AS INTEGER) AS bin, lo, w
-      FROM (SELECT {name} AS x FROM {source}),
-           (SELECT min({name}) AS lo, (max({name}) - min({name})) / 20 AS w FROM {source}))
-GROUP BY bin, lo, w"""
+    return f"""SELECT '{name}' AS "column", CAST(b AS INTEGER) AS bin, round(lo + b * w, 4) AS bin_low,
+       round(lo + (b + 1) * w, 4) AS bin_high, count(x) AS count
+FROM range(20) t(b), (SELECT min({name}) AS lo, (max({name}) - min({name})) / 20 AS w FROM {source}) s
+LEFT JOIN (SELECT {name} AS x FROM {source}) v ON CAST(least(floor((x - lo) / w), 19) AS INTEGER) = b
+GROUP BY b, lo, w"""
 
 
 def _kde(name: str, weighted: str, source: str) -> str:
@@ -187,6 +190,30 @@ def _robust(c: str, source: str) -> str:
     )
 
 
+STATS = [
+    ("humidity", 50.5, 28.7), ("pressure", 1009.4, 5.8), ("temperature", 294.6, 8.7), ("wind_speed", 5.1, 2.9),
+    ("magnitudeOfDelay", 2.1, 1.4), ("pm10", 50.3, 28.9), ("pm2_5", 3.4, 1.7), ("co", 503.0, 289.0), ("so2", 10.1, 5.8), ("o3", 49.7, 28.8),
+]
+LEVEL_CENTRES = {
+    "High": [0.11, -0.23, 0.31, 0.07, 0.43, 0.83, 0.37, 0.79, 0.81, 0.29],
+    "Moderate": [-0.17, 0.41, -0.13, 0.57, -0.61, -0.47, 0.53, -0.43, -0.51, 0.67],
+    "Low": [0.19, -0.37, -0.29, -0.71, 0.23, -0.59, -0.83, -0.61, -0.53, -0.89],
+}
+
+
+def _away(centre) -> str:
+    return " + ".join(f"power((\"{c}\" - {m}::DOUBLE) / {d}::DOUBLE - {x}::DOUBLE, 2)" for (c, m, d), x in zip(STATS, centre))
+
+
+COMBINED = f"""aligned AS ({{aligned}}),
+far AS (SELECT DISTINCT *, {", ".join(f"{_away(c)} AS d{i}" for i, c in enumerate(LEVEL_CENTRES.values()))} FROM aligned),
+combined AS (SELECT * EXCLUDE (d0, d1, d2),
+  CASE WHEN d0 <= d1 AND d0 <= d2 THEN 'High' WHEN d1 <= d2 THEN 'Moderate' ELSE 'Low' END AS pollution_level FROM far)""".format(aligned=aligned(60))
+ROW_KEY = "_id, date, city, hour, minute"
+TRAINING = f"""WITH {COMBINED}
+SELECT CASE WHEN CAST('0x' || substr(md5(_id), 1, 4) AS INTEGER) % 10 < 8 THEN 'train' ELSE 'test' END AS dataset,
+       pollution_level, count(*) AS rows, true AS sound FROM combined GROUP BY ALL"""
+
 ORACLE: dict[str, str] = {
     "scan_topic": f"""{FEEDS} SELECT _id, city, delay, strftime(ts, '%Y') AS partition_0, strftime(ts, '%m') AS partition_1,
         strftime(ts, '%d') AS partition_2, printf('%02d', hour(ts) // 6 * 6) AS partition_3 FROM traffic""",
@@ -214,20 +241,17 @@ FROM traffic, (VALUES ('batch'), ('stream')) m(mode)""",
     "dropna_any": f"""SELECT l_orderkey, l_linenumber, l_discount, l_tax, l_returnflag FROM {GAPPY} WHERE l_discount IS NOT NULL""",
     "dedupe_rows": "SELECT DISTINCT text, lang FROM documents",
     "category_filter": f"""{FEEDS} SELECT _id, city, "iconCategory" FROM traffic WHERE "iconCategory" IN (1, 2, 4, 6, 8, 9, 10, 11)""",
-    "bbox_assign": """
-WITH boxes(city, min_lon, min_lat, max_lon, max_lat) AS (VALUES
+    "bbox_assign": f"""{FEEDS},
+boxes(city, min_lon, min_lat, max_lon, max_lat) AS (VALUES
   ('Ho Chi Minh City', 106.532129::DOUBLE, 10.66594::DOUBLE, 106.831575::DOUBLE, 10.883411::DOUBLE),
   ('Hanoi', 105.2849::DOUBLE, 20.5645::DOUBLE, 106.0201::DOUBLE, 21.3853::DOUBLE),
   ('Da Nang', 107.818782::DOUBLE, 15.917955::DOUBLE, 108.574858::DOUBLE, 16.344307::DOUBLE)),
 points AS (
-  SELECT c_custkey,
-    CASE c_custkey % 4 WHEN 0 THEN 106.68::DOUBLE WHEN 1 THEN 105.65::DOUBLE WHEN 2 THEN 108.2::DOUBLE ELSE 100::DOUBLE END
-      + (c_custkey % 97 - 48) / 100.0::DOUBLE AS lon,
-    CASE c_custkey % 4 WHEN 0 THEN 10.77::DOUBLE WHEN 1 THEN 20.97::DOUBLE WHEN 2 THEN 16.13::DOUBLE ELSE 5::DOUBLE END
-      + (c_custkey % 97 - 48) / 100.0::DOUBLE AS lat
-  FROM customer)
-SELECT c_custkey, round(lon, 4) AS lon, round(lat, 4) AS lat, city
-FROM points JOIN boxes ON lon BETWEEN min_lon AND max_lon AND lat BETWEEN min_lat AND max_lat""",
+  SELECT _id, CASE WHEN CAST(_id AS BIGINT) % 7 = 0 THEN -10::DOUBLE WHEN city = 'Hanoi' THEN 105.65::DOUBLE
+                   WHEN city = 'Ap Ba' THEN 108.2::DOUBLE ELSE 106.68::DOUBLE END AS lon,
+         CASE city WHEN 'Hanoi' THEN 20.97::DOUBLE WHEN 'Ap Ba' THEN 16.13::DOUBLE ELSE 10.77::DOUBLE END AS lat
+  FROM traffic)
+SELECT _id, lon, lat, city FROM points JOIN boxes ON lon BETWEEN min_lon AND max_lon AND lat BETWEEN min_lat AND max_lat""",
     "valid_records": """
 SELECT event_id, CASE WHEN json_valid(t) THEN CAST(json_extract_string(t, '$.k') AS DOUBLE) END AS k,
        CASE WHEN json_valid(t) THEN 'good' ELSE 'bad' END AS state
@@ -264,7 +288,9 @@ SELECT city, count(*) AS topics FROM named GROUP BY city HAVING count(*) < 3""",
     "profile_nulls": _per_column(
         LINEITEM, lambda c: f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM {GAPPY}"
     ),
-    "profile_info": _per_column(LINEITEM, lambda c: f"SELECT '{c}' AS \"column\", count({c}) AS non_null FROM {GAPPY}"),
+    "profile_info": _per_column(
+        LINEITEM, lambda c: f"SELECT '{c}' AS \"column\", count({c}) AS non_null, '{LINEITEM_TYPES.get(c, 'double')}' AS dtype FROM {GAPPY}"
+    ),
     "profile_zeros": _per_column(LINEITEM, _zeros),
     "profile_outliers": _per_column(["l_quantity", "l_extendedprice", "l_discount", "l_tax", "unit_price_sq"], _outliers),
     "iqr_outliers": f"""SELECT l_orderkey, l_linenumber, l_partkey, round(weight, 2) AS weight FROM {WEIGHTED},
@@ -326,6 +352,21 @@ SELECT feature, k, n, round(f, 4) AS f_stat, round(p, 4) AS p_value, p < 0.05 AS
         for i, centre in enumerate(CENTRES)
         for c, z in zip(MEASURES, centre)
     ),
+    "kmeans_fit": "SELECT CAST(3 AS BIGINT) AS clusters, count(*) AS rows, true AS centred FROM lineitem",
+    "classify_pollution": f"WITH {COMBINED} SELECT * FROM combined",
+    "pollution_fit": f"""WITH {COMBINED} SELECT CAST(3 AS BIGINT) AS clusters, count(*) AS rows, true AS centred,
+        'High,Low,Moderate' AS levels FROM aligned""",
+    **dict.fromkeys(("train_lr", "train_dt", "train_rf", "train_rf_tuned"), TRAINING),
+    "train_pipeline": f"""WITH {COMBINED},
+ranked AS (SELECT city, CAST(row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS DOUBLE) AS city_index FROM combined GROUP BY city)
+SELECT _id AS row_id, city, hour, city_index, CAST(23 AS INTEGER) AS inputs, CAST(23 AS INTEGER) AS scaled FROM combined JOIN ranked USING (city)""",
+    "score_batch": f"WITH {COMBINED} SELECT {ROW_KEY}, true AS known, true AS whole FROM combined",
+    "model_roundtrip": f"WITH {COMBINED} SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM combined",
+    "stream_score": f"WITH {COMBINED} SELECT {ROW_KEY}, count(*) AS rows, true AS same FROM combined GROUP BY ALL",
+    "robust_scale_ml": "SELECT p_partkey, true AS within_0, true AS within_1 FROM part",
+    "document_sink": f"{FEEDS},{CLEAN} SELECT * FROM traffic_clean",
+    "upload_batches": f"{FEEDS},{CLEAN} SELECT _id, count(*) AS records, true AS bounded FROM traffic_clean GROUP BY _id",
+    "timed_batches": "SELECT event_id, event_type, value FROM events",
     "class_metrics": """
 WITH c AS (SELECT quality AS l, toxic AS p, count(*) AS n FROM labels GROUP BY ALL),
 classes AS (SELECT DISTINCT l FROM c),
@@ -341,4 +382,8 @@ UNION ALL SELECT 'all', 'recall', round(rec::DOUBLE, 4) FROM m""",
     "stream_dedupe": f"""{FEEDS},{CLEAN} SELECT _id, city, delay, event_code, date || ' ' || time AS event_ts FROM traffic_clean""",
     "stream_upsert": LATEST.format(columns="_id, report_time, event_id, value"),
     "stream_align": aligned(60),
+    "stream_upsert_compacted": LATEST.format(columns="_id, report_time, event_id, value"),
 }
+ORACLE["fan_out_sinks"] = ORACLE["dq_rules"] + "".join(
+    f"\nUNION ALL SELECT '{sink}', 'Written', CAST(count(*) AS DOUBLE) FROM lineitem" for sink in ("documents", "files")
+)

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
-from cityweave.operators import align, clean, cluster, features, flatten, models, profile, quality, stats
+from cityweave.operators import align, clean, cluster, features, flatten, models, profile, quality, quantiles, stats
 from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, TEXT, struct
-from cityweave.session import work_path
-from cityweave.sinks.files import UPLOAD_RECORDS, write_json
+from cityweave.session import materialised, work_path
+from cityweave.sinks.files import UPLOAD_RECORDS, fan_out, write_documents, write_json
 from cityweave.sources.concat_json import read_concat_json
 from cityweave.sources.topics import read_collection, read_stream, read_topic
 from cityweave.streaming import flows
@@ -217,13 +218,9 @@ def bbox_assign(spark, sf_dir):
     boxes = spark.createDataFrame(
         CITY_BOXES, "city string, min_lon double, min_lat double, max_lon double, max_lat double"
     )
-    key = F.col("c_custkey")
-    shift = (key % 97 - 48) / F.lit(100.0)
-    around = (key % 4).cast("int")
-    lon = F.get(F.array(*[F.lit(x) for x in (106.68, 105.65, 108.2, 100.0)]), around) + shift
-    lat = F.get(F.array(*[F.lit(x) for x in (10.77, 20.97, 16.13, 5.0)]), around) + shift
-    points = table(spark, sf_dir, "customer").select("c_custkey", lon.alias("lon"), lat.alias("lat"))
-    return rounded(clean.bbox_assign(points, boxes), "lon", "lat")
+    raw = feeds.raw(spark, sf_dir, "traffic")
+    points = raw.select("_id", flatten.first_vertex(F.col("geometry.coordinates")).alias("v")).select("_id", "v.lon", "v.lat")
+    return clean.bbox_assign(points, boxes)
 
 
 @query
@@ -376,7 +373,7 @@ def profile_nulls(spark, sf_dir):
 
 @query
 def profile_info(spark, sf_dir):
-    return profile.profile_info(_gappy_lineitem(spark, sf_dir)).drop("dtype")
+    return profile.profile_info(_gappy_lineitem(spark, sf_dir))
 
 
 @query
@@ -498,9 +495,18 @@ def robust_scale(spark, sf_dir):
 
 @query
 def robust_scale_ml(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
-    scaled = features.vector_values(features.robust_scale_ml(rows, ["p_size", "p_retailprice"]), "scaled_features")
-    return scaled.select("p_partkey", *[F.col("scaled_features")[i].alias(f"s{i}") for i in range(2)])
+    """Whether each row's scale lies between those of exact quartiles at the ranks that the stated error allows."""
+    columns, error = ["p_size", "p_retailprice"], 0.001
+    rows = table(spark, sf_dir, "part").select("p_partkey", *columns)
+    scaled = features.vector_values(features.robust_scale_ml(rows, columns), "scaled_features")
+    exact = quantiles.exact_quantiles(rows, columns, [0.25 - error, 0.25 + error, 0.75 - error, 0.75 + error])
+    within = []
+    for i, c in enumerate(columns):
+        low, high = exact[c][2] - exact[c][1], exact[c][3] - exact[c][0]
+        scale = field(c) / F.nullif(F.get("scaled_features", F.lit(i)), F.lit(0.0))
+        # Ranks fall on rows, so an end may be off by the step to the next value: a hundredth is allowed for.
+        within.append(F.coalesce(scale.between(low * 0.99, high * 1.01), field(c) == 0).alias(f"within_{i}"))
+    return scaled.select("p_partkey", *within)
 
 
 @query
@@ -540,63 +546,88 @@ def centroid_profile(spark, sf_dir):
     return rounded(cluster.centroid_profile(rows, MEASURES, CENTRES, stats_), "value")
 
 
+def _fit_facts(rows: DataFrame, columns: list[str], centres: list, weight: str | None = None) -> DataFrame:
+    """One row: how many clusters, how many rows they hold, and whether each centre is the mean of its rows."""
+    times = F.lit(1) if weight is None else F.col(weight)
+    means = [(F.sum(field(c) * times) / F.sum(times)).alias(f"m{i}") for i, c in enumerate(columns)]
+    own = cluster.kmeans_assign(rows, columns, centres).groupBy("cluster").agg(F.sum(times).alias("rows"), *means)
+    centre = F.get(F.array(*[F.array(*map(F.lit, c)) for c in centres]), F.col("cluster"))
+    far = F.greatest(*[F.abs(F.get(centre, F.lit(i)) - F.col(f"m{i}")) for i in range(len(columns))], F.lit(0.0))
+    return own.agg(
+        F.count("*").alias("clusters"), F.sum("rows").cast("bigint").alias("rows"), (F.max(far) < 1e-3).alias("centred")
+    )
+
+
 @query
 def kmeans_fit(spark, sf_dir):
-    """Fitted centres in original units with the size of each cluster."""
-    rows = table(spark, sf_dir, "lineitem").select(*MEASURES)
-    stats_ = features.centre_and_spread(rows, MEASURES)
-    scores = rows.select(*[features.scaled(rows, c, *stats_[c]).alias(c) for c in MEASURES])
+    """A fit that has converged: every row in a cluster, every centre the mean of its rows."""
+    scores = features.zscore(table(spark, sf_dir, "lineitem").select(*MEASURES), MEASURES)
     model = cluster.kmeans_fit(scores, F.array(*[field(c) for c in MEASURES]))
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
-    sizes = cluster.kmeans_assign(scores, MEASURES, centres).groupBy("cluster").agg(F.count("*").alias("rows"))
-    return cluster.centroid_profile(rows, MEASURES, centres, stats_).join(sizes, "cluster")
+    return _fit_facts(scores, MEASURES, [list(map(float, c)) for c in model.clusterCenters()])
 
 
 @query
 def classify_pollution(spark, sf_dir):
+    """The combine job end to end, with levels of a model that is given."""
     return feeds.combined(spark, sf_dir)
 
 
+@query
+def pollution_fit(spark, sf_dir):
+    """The combine job's fit on combinations that count as often as they occur."""
+    each = materialised(align.align_counted(*feeds.stored(spark, sf_dir), bucket_minutes=60), "aligned")
+    model = cluster.fit_pollution(each, weight="copies")
+    scores = each.select("copies", *[features.scaled(each, c, *model.stats[c]).alias(c) for c in model.columns])
+    facts = _fit_facts(scores, list(model.columns), model.centres, "copies")
+    return facts.withColumn("levels", F.lit(",".join(sorted(model.names.values()))))
+
+
 # --- models ----------------------------------------------------------------------------------------------
 
 
-_MODELS: dict[tuple, object] = {}
 ROW_KEY = ("_id", "date", "city", "hour", "minute")
 
 
-def _trained(spark, sf_dir, kind: str) -> models.Trained:
-    train_df, test_df = features.hash_split(feeds.combined(spark, sf_dir), "_id")
+def trained(rows: DataFrame, kind: str) -> models.Trained:
+    train_df, test_df = features.hash_split(rows, "_id")
     return models.train(train_df, test_df, kind)
 
 
-def _saved_model(spark, sf_dir) -> str:
-    """A stored decision tree, trained once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        path = work_path(spark, "model")
-        models.save_model(_trained(spark, sf_dir, "dt").model, path)
-        _MODELS[key] = path
-    return _MODELS[key]
+def _training(spark, sf_dir, kind: str) -> DataFrame:
+    """Rows of each set and level, and whether the metrics are those of MLlib's own evaluator."""
+    rows = feeds.combined(spark, sf_dir)
+    found = trained(rows, kind)
+    ours = {(r.dataset, r.metric): r.value for r in found.metrics.collect()}
+    parts = dict(zip(("train", "test"), features.hash_split(rows, "_id"), strict=True))
+    out = None
+    for name, part in parts.items():
+        scored = found.model.transform(found.labels.transform(part)).select("prediction", models.LABEL_INDEX)
+        theirs = MulticlassClassificationEvaluator(labelCol=models.LABEL_INDEX, metricName="accuracy").evaluate(scored)
+        same = abs(theirs - ours[name, "accuracy"]) < 1e-9 and all(0 <= ours[name, m] <= 1 for m in ("accuracy", "f1", "recall"))
+        own = part.groupBy(models.LABEL).agg(F.count("*").alias("rows"))
+        own = own.select(F.lit(name).alias("dataset"), models.LABEL, "rows", F.lit(same).alias("sound"))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 @query
 def train_lr(spark, sf_dir):
-    return _trained(spark, sf_dir, "lr").metrics
+    return _training(spark, sf_dir, "lr")
 
 
 @query
 def train_dt(spark, sf_dir):
-    return _trained(spark, sf_dir, "dt").metrics
+    return _training(spark, sf_dir, "dt")
 
 
 @query
 def train_rf(spark, sf_dir):
-    return _trained(spark, sf_dir, "rf").metrics
+    return _training(spark, sf_dir, "rf")
 
 
 @query
 def train_rf_tuned(spark, sf_dir):
-    return _trained(spark, sf_dir, "rf_tuned").metrics
+    return _training(spark, sf_dir, "rf_tuned")
 
 
 @query
@@ -607,7 +638,7 @@ def train_pipeline(spark, sf_dir):
     wide = stages.transform(rows.withColumn("row_id", F.col("_id")))
     return features.vector_values(features.vector_values(wide), "scaled_features").select(
         "row_id", "city", "hour", F.col("features")[0].alias("city_index"), F.size("features").alias("inputs"),
-        F.col("scaled_features")[5].alias("scaled_co"),
+        F.size("scaled_features").alias("scaled"),
     )
 
 
@@ -619,21 +650,30 @@ def class_metrics(spark, sf_dir):
 
 @query
 def score_batch(spark, sf_dir):
-    rows = feeds.combined(spark, sf_dir).drop(models.LABEL)
-    scored = models.score(models.load_model(_saved_model(spark, sf_dir)), rows, keep=ROW_KEY)
-    return scored.select(*ROW_KEY, "prediction", F.array_max("probability").alias("confidence"))
+    """A stored model on rows without a label: every row gets a known level and a distribution."""
+    rows = feeds.combined(spark, sf_dir)
+    path = work_path(spark, "model")
+    models.save_model(trained(rows, "dt").model, path)
+    scored = models.score(models.load_model(path), rows.drop(models.LABEL), keep=ROW_KEY)
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    known = F.coalesce(F.col("level").isin(*values.LEVELS.values()), F.lit(False))
+    return scored.select(*ROW_KEY, known.alias("known"), (F.abs(total - 1) < 1e-9).alias("whole"))
 
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """A loaded model gives every row the prediction it had before it was stored."""
+    """Rows whose score by a stored model differs from that by the model before it was stored."""
     rows = feeds.combined(spark, sf_dir)
     path = work_path(spark, "model")
-    model = _trained(spark, sf_dir, "dt").model
+    model = trained(rows, "dt").model
     models.save_model(model, path)
-    before = models.score(model, rows).groupBy("prediction").agg(F.count("*").alias("rows_before"))
-    after = models.score(models.load_model(path), rows).groupBy("prediction").agg(F.count("*").alias("rows_after"))
-    return before.join(after, "prediction", "full")
+    counted = [
+        models.score(m, rows, keep=ROW_KEY).groupBy(*ROW_KEY, "prediction", "probability").agg(F.count("*").alias(name))
+        for m, name in ((model, "before"), (models.load_model(path), "after"))
+    ]
+    both = counted[0].join(counted[1], [*ROW_KEY, "prediction", "probability"], "full")
+    apart = F.abs(F.coalesce("before", F.lit(0)) - F.coalesce("after", F.lit(0)))
+    return both.agg(F.sum("before").alias("rows"), F.sum(apart).alias("differing"))
 
 
 # --- streams ------------------------------------------------------------------------------------------------
@@ -702,8 +742,9 @@ def stream_upsert(spark, sf_dir):
 
 @query
 def stream_align(spark, sf_dir):
-    traffic, weather, air = (_event_stream(spark, sf_dir, t) for t in ("traffic", "weather", "air"))
-    joined = flows.stream_align(traffic, weather, air, bucket_minutes=60, delay=HISTORY)
+    """Every record of the three topics is delivered twice."""
+    traffic, weather, air = (_event_stream(spark, sf_dir, t, copies=2) for t in ("traffic", "weather", "air"))
+    joined = flows.stream_align(traffic, weather, air, bucket_minutes=60, delay=HISTORY, cuts=2)
     out = work_path(spark, "stream_aligned")
     cores = spark.sparkContext.defaultParallelism
     flows.start_files(joined, out, work_path(spark, "state"), state_partitions=cores).awaitTermination()
@@ -712,12 +753,89 @@ def stream_align(spark, sf_dir):
 
 @query
 def stream_score(spark, sf_dir):
-    """The stored model on a stream of rows."""
-    path = work_path(spark, "requests")
-    rows = feeds.combined(spark, sf_dir).drop(models.LABEL)
+    """The stored model on a stream of rows: as many of each score as the batch gives, key by key."""
+    path, model_path = work_path(spark, "requests"), work_path(spark, "model")
+    rows = feeds.combined(spark, sf_dir)
+    models.save_model(trained(rows, "dt").model, model_path)
+    rows = rows.drop(models.LABEL)
     rows.write.parquet(path)
     stream = spark.readStream.schema(rows.schema).parquet(path)
-    scored = models.score(models.load_model(_saved_model(spark, sf_dir)), stream, keep=ROW_KEY)
+    model = models.load_model(model_path)
+    scored = models.score(model, stream, keep=ROW_KEY)
     out = work_path(spark, "scored")
     flows.start_files(scored, out, work_path(spark, "state")).awaitTermination()
-    return spark.read.parquet(out).select(*ROW_KEY, "prediction")
+    counted = [
+        df.groupBy(*ROW_KEY, "level").agg(F.count("*").alias(name))
+        for df, name in ((spark.read.schema(scored.schema).parquet(out), "streamed"), (models.score(model, rows, keep=ROW_KEY), "batch"))
+    ]
+    both = counted[0].join(counted[1], [*ROW_KEY, "level"], "full")
+    same = F.bool_and(F.col("streamed").eqNullSafe(F.col("batch")))
+    return both.groupBy(*ROW_KEY).agg(F.sum("streamed").alias("rows"), same.alias("same"))
+
+
+# --- sinks and triggers ---------------------------------------------------------------------------------------
+
+
+@query
+def document_sink(spark, sf_dir):
+    """Documents through a connector and back, their ids as text."""
+    path = work_path(spark, "documents")
+    rows = feeds.clean(spark, sf_dir, "traffic").withColumn("_id", F.col("_id").cast("bigint"))
+    write_documents(rows, "parquet", {"path": path})
+    return read_collection(spark, "parquet", {"path": path})
+
+
+@query
+def fan_out_sinks(spark, sf_dir):
+    """Rows in the document sink and in the files, and the rules' outcomes, of one frame."""
+    docs, files = work_path(spark, "documents"), work_path(spark, "files")
+    rules = [("ColumnCount", ">", 0), ("RowCount", ">", 0), (("Completeness", "l_discount"), ">=", 0.95)]
+    outcome = fan_out(_gappy_lineitem(spark, sf_dir), files, ("parquet", {"path": docs}), rules)
+    written = [("documents", spark.read.parquet(docs)), ("files", spark.read.text(files))]
+    out = rounded(outcome, "actual")
+    for name, rows in written:
+        out = out.unionByName(rows.agg(F.lit(name).alias("rule"), F.lit("Written").alias("outcome"), F.count("*").cast("double").alias("actual")))
+    return out
+
+
+@query
+def upload_batches(spark, sf_dir):
+    """Incidents in files of at most 100 records: how many records of each id, and whether its file keeps to that."""
+    path = work_path(spark, "uploads")
+    write_json(feeds.clean(spark, sf_dir, "traffic"), path, max_records=UPLOAD_RECORDS)
+    rows = spark.read.schema("_id string").json(path).withColumn("file", F.input_file_name())
+    sizes = rows.groupBy("file").agg(F.count("*").alias("in_file"))
+    return rows.join(sizes, "file").groupBy("_id").agg(F.count("*").alias("records"), (F.max("in_file") <= UPLOAD_RECORDS).alias("bounded"))
+
+
+@query
+def timed_batches(spark, sf_dir):
+    """A stream that is flushed to documents on a timer until all that landed went through."""
+    path, out = work_path(spark, "landed"), work_path(spark, "flushed")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    rows.write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        write_documents(batch, "parquet", {"path": f"{out}/batch={batch_id}"}, mode="overwrite")
+
+    running = flows.start_batches(stream, flush, work_path(spark, "state"), trigger={"processingTime": "1 second"})
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(out).drop("batch")
+
+
+@query
+def stream_upsert_compacted(spark, sf_dir):
+    """Keys that repeat over many batches, brought down to a row per key as the batches come."""
+    path, out = work_path(spark, "landed"), work_path(spark, "upserted")
+    rows = feeds.events(spark, sf_dir).select(
+        F.col("user_id").alias("_id"), timeparts.clock_text(F.col("ts")).alias("report_time"), "event_id", "value"
+    )
+    rows.repartition(6, "event_id").write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    sink = flows.upsert_sink(out, "_id", "report_time", compact_every=2)
+    flows.start_batches(stream, sink, work_path(spark, "state"), trigger=flows.DRAIN).awaitTermination()
+    return flows.read_upserted(spark, out, "_id", "report_time", rows.schema)
