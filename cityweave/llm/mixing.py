@@ -57,10 +57,10 @@ def mean_copies(
         given = F.create_map(*[F.lit(x) for pair in weights.items() for x in (pair[0], float(pair[1]))]) if weights else None
         weight = F.coalesce(given[F.col("source")], F.lit(float(other))) if weights else F.lit(float(other))
     counts = counts.withColumn("weight", weight)
-    sums = counts.agg(F.sum("source_rows").alias("all_rows"), F.sum("weight").alias("all_weight"))
-    target = F.col("all_rows").cast("double") if total_rows is None else F.lit(float(total_rows))
-    share = F.when(F.col("all_weight") > 0, F.col("weight") / F.col("all_weight")).otherwise(0.0)
-    return counts.join(F.broadcast(sums)).select("source", "source_rows", "weight", (target * share / F.col("source_rows")).alias("rate"))
+    all_rows, all_weight = counts.agg(F.sum("source_rows"), F.sum("weight")).first()
+    target = float((all_rows or 0) if total_rows is None else total_rows)
+    share = F.col("weight") / F.lit(float(all_weight)) if all_weight else F.lit(0.0)
+    return counts.select("source", "source_rows", "weight", (F.lit(target) * share / F.col("source_rows")).alias("rate"))
 
 
 def mix(

@@ -46,4 +46,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM written GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op1_poisson_mix": _MIX, "op4_exact_dedup": _COPIES, "op8_chat_format": _CHAT}
+_NEAR = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 4 THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+reached AS (
+  SELECT doc_id AS id, doc_id AS other FROM documents
+  UNION SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other),
+lowest AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN lowest ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op1_poisson_mix": _MIX, "op4_exact_dedup": _COPIES, "op8_chat_format": _CHAT, "op10_minhash_near_dedup": _NEAR}
