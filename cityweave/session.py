@@ -66,7 +66,7 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def by_content(df: DataFrame, rows_per_part: int = 250_000) -> DataFrame:
+def by_content(df: DataFrame, rows_per_part: int = 50_000) -> DataFrame:
     """A stored table dealt out by its rows' values, in a fixed order, into parts whose number follows from the row count.
 
     What goes by partition, as the start of a clustering and the bags of a forest do, then depends on the
