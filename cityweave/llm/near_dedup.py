@@ -9,15 +9,21 @@
 3. In every bucket one class is the centre: the one that shares its buckets with most others, which
    is the least changed of a family. Each other member gets a candidate edge to the centre only, so a bucket gives
    fewer pairs than it has members.
-4. Candidates whose minima agree in at least ``FAMILY`` of all bins join families. A family holds all that is
-   near, and a pair that lies beyond the limit with the centre but within it with each other is in one family.
+4. Candidates whose minima agree in at least ``FAMILY`` of all bins join families, and so a pair that lies beyond
+   the limit with the centre but within it with each other is in one family. A member that agrees with the
+   centre in at least ``SETTLED`` needs no more: all that agrees with it in ``CLOSE`` is near enough to the centre to
+   be in the family too. Of the other members of a bucket, those outside of the family that most of
+   them have are compared with all, in blocks of bounded size, and join families from ``CLOSE`` on. So any
+   two classes that share a bucket and agree in ``CLOSE`` are in one family, however crowded the bucket is. Two
+   sets with a similarity of 0.85 agree in less with a probability of about 1e-7.
 5. Links are confirmed inside families, on full sets of shingles: members are dealt into blocks of
    bounded size, each with the family's hub, and compared by products of incidence matrices. Only a
    spanning set of links leaves a task. Members that aren't linked with the hub's component are then
    compared with all blocks of their family, also in bounded blocks; the others needn't be, since
    they are linked already.
 
-No bucket, family or candidate list is cut off. The work of step 5 grows with the family's size times the
+No bucket, family or candidate list is cut off. The work of step 4 grows with the square of the members of a bucket
+that are only half alike, which is what documents assembled from the same frequent lines cost. The work of step 5 grows with the family's size times the
 number of members left over, which is the price of not losing a link between them.
 
 Edge cases: a null, empty or white text has no shingles and is linked with nothing, as is a null id; such
@@ -47,8 +53,14 @@ BINS = BANDS * ROWS
 PERCENT = 85
 #: Share of agreeing bins from which a candidate belongs to the family.
 FAMILY = 0.6
+#: Share from which two members of a bucket belong to one family, whatever its centre is.
+CLOSE = 0.7
+#: Share with the centre from which whatever is close to a member agrees with the centre in ``FAMILY``.
+SETTLED = FAMILY + 1 - CLOSE
 #: Members, and shingles in all, of a block.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+#: Members of a block of a bucket.
+BUCKET_BLOCK = 2048
 
 _random = np.random.default_rng(20240229)
 _odd = lambda n: _random.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -145,15 +157,15 @@ def profiles(docs: DataFrame) -> DataFrame:
 
 
 def star_edges(classes: DataFrame) -> DataFrame:
-    """Candidate edges ``a``, ``b``: each member of a bucket with the bucket's centre."""
+    """Candidate edges ``a``, ``b`` and their ``bucket``: each member with the bucket's centre."""
     rows = classes.select("id", F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(rows.hint("merge").join(shared, "bucket"), "buckets")
     weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
     weighed = shared.hint("merge").join(weight, "id")
     centre = weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("most"))
-    pairs = shared.select("bucket", "id").hint("merge").join(centre, "bucket").select(F.col("id").alias("a"), (-F.col("most.minus")).alias("b"))
-    return pairs.where("a <> b").distinct()
+    pairs = shared.select("bucket", "id").hint("merge").join(centre, "bucket").select("bucket", F.col("id").alias("a"), (-F.col("most.minus")).alias("b"))
+    return stored(pairs.where("a <> b"), "stars")
 
 
 @F.pandas_udf(DoubleType())
@@ -162,15 +174,54 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((left == right).mean(axis=1))
 
 
-def families(classes: DataFrame, edges: DataFrame) -> DataFrame:
+def _met(block: pa.Table) -> pa.Table:
+    """Edges that connect what is close among the rest of a block, and between it and the others."""
+    ids, family = block.column("id").to_numpy(), block.column("family").to_numpy()
+    marks = np.frombuffer(b"".join(block.column("marks").to_pylist()), np.uint8).reshape(-1, BINS)
+    rest = np.asarray(block.column("rest").to_pylist(), dtype=bool)
+    own, other = np.flatnonzero(rest), np.flatnonzero(~rest)
+    rows, columns = [own[:0]], [own[:0]]
+    for k in own:
+        found = other[((marks[other] == marks[k]).sum(axis=1) >= CLOSE * BINS) & (family[other] != family[k])]
+        rows.append(np.full(len(found), k))
+        columns.append(found)
+    return _spanning(ids, np.concatenate(rows), np.concatenate(columns))
+
+
+def crowded_edges(stars: DataFrame, near: DataFrame, family: DataFrame, marks: DataFrame) -> DataFrame:
+    """Edges ``a``, ``b`` between close members of a bucket that neither its centre nor their families bring together."""
+    settled = near.where(F.col("agreement") >= SETTLED).select("a", "b")
+    left = stars.hint("merge").join(settled, ["a", "b"], "left_anti").select("bucket", F.col("a").alias("id"))
+    left = left.hint("merge").join(family, "id", "left").withColumn("family", F.coalesce("family", "id"))
+    left = stored(left, "unsettled")
+    counted = left.groupBy("bucket", "family").agg(F.count("*").alias("n"))
+    whole = counted.groupBy("bucket").agg(F.max(F.struct("n", "family")).alias("most"), F.sum("n").alias("all"))
+    blocks, rests = F.ceil(F.col("all") / BUCKET_BLOCK), F.ceil((F.col("all") - F.col("most.n")) / BUCKET_BLOCK)
+    whole = whole.select("bucket", F.col("most.family").alias("main"), blocks.alias("blocks"), rests.alias("rests")).where("rests > 0")
+    met = left.hint("merge").join(whole, "bucket").withColumn("left", F.col("family") != F.col("main"))
+    met = stored(met.select("bucket", "id", "family", "left", "blocks", "rests").hint("merge").join(marks, "id"), "crowds")
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    every = met.withColumn("block", _dealt("id", "blocks", 2)).withColumn("other", F.explode(upto("rests"))).withColumn("rest", F.lit(False))
+    rest = met.where("left").withColumn("other", _dealt("id", "rests", 3)).withColumn("block", F.explode(upto("blocks"))).withColumn("rest", F.lit(True))
+    columns = ["bucket", "block", "other", "id", "family", "rest", "marks"]
+    found = every.select(*columns).unionByName(rest.select(*columns)).groupBy("bucket", "block", "other").applyInArrow(_met, "a bigint, b bigint")
+    return stored(found.distinct(), "crowded")
+
+
+def families(classes: DataFrame, stars: DataFrame) -> DataFrame:
     """``id``, ``family`` and ``degree`` (candidates near it) of every class that is near another."""
     marks = classes.select("id", "marks")
-    both = edges.hint("merge").join(marks.select(F.col("id").alias("a"), F.col("marks").alias("marks_a")), "a")
+    both = stars.select("a", "b").distinct().hint("merge").join(marks.select(F.col("id").alias("a"), F.col("marks").alias("marks_a")), "a")
     both = both.hint("merge").join(marks.select(F.col("id").alias("b"), F.col("marks").alias("marks_b")), "b")
     near = both.select("a", "b", _agreement("marks_a", "marks_b").alias("agreement")).where(F.col("agreement") >= FAMILY)
-    near = stored(near.select("a", "b"), "candidates")
-    degree = near.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+    near = stored(near, "candidates")
     found = components(near, "a", "b").withColumnRenamed("component", "family")
+    met = crowded_edges(stars, near, found, marks)
+    near = near.select("a", "b")
+    if not met.isEmpty():
+        near = near.unionByName(met)
+        found = components(near, "a", "b").withColumnRenamed("component", "family")
+    degree = near.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     return found.hint("merge").join(degree, "id")
 
 

@@ -206,6 +206,26 @@ def test_near_groups(spark, monkeypatch):
     assert 0 < sum(i == c for i, (_, c) in want.items()) < len(want)
 
 
+@pytest.mark.parametrize("block", [7, near_dedup.BUCKET_BLOCK])
+def test_close_members_of_a_crowded_bucket_are_one_family(spark, monkeypatch, block):
+    """Documents of frequent lines crowd a bucket; its centre is far from two that are near each other, or near one of them only."""
+    monkeypatch.setattr(near_dedup, "BUCKET_BLOCK", block)
+    rng = np.random.default_rng(4)
+    crowd = rng.integers(0, 256, (60, near_dedup.BINS), dtype=np.uint8)
+    changed = lambda marks, bins: np.where(np.isin(np.arange(near_dedup.BINS), bins), marks + 1, marks).astype(np.uint8)
+    rest = rng.integers(0, 256, (20, near_dedup.BINS), dtype=np.uint8)
+    far = [x for marks in rest for x in (marks, changed(marks, np.arange(29)))]  # 163 of 192 bins agree
+    near = changed(crowd[0], np.arange(70))  # 122 of 192 with the centre, in its family
+    beyond = changed(near, np.arange(70, 110))  # 82 of 192 with the centre, 152 with the one before
+    marks = [*crowd, *far, near, beyond]
+    # All share bucket 1; the crowd shares another, and its first one a third with a document, so that it is the centre.
+    data = [(k, 100, [1, *([2] if k < 60 else []), *([3] if k in (0, 200) else [])], bytes(m)) for k, m in enumerate(marks)]
+    data.append((200, 100, [3], bytes(rng.integers(0, 256, near_dedup.BINS, dtype=np.uint8))))
+    classes = spark.createDataFrame(data, "id long, n_shingles long, buckets array<long>, marks binary")
+    found = {r.id: r.family for r in near_dedup.families(classes, near_dedup.star_edges(classes)).collect()}
+    assert found == {0: 0, 100: 0, 101: 0} | {k: k // 2 * 2 for k in range(60, 100)}
+
+
 def test_similarity_is_compared_exactly():
     left, right = [np.arange(20, dtype=np.uint64)], [np.arange(3, 20, dtype=np.uint64), np.arange(4, 20, dtype=np.uint64)]
     assert near_dedup._similar(left, right, 85).tolist() == [[True, False]]  # 17 of 20 and 16 of 20
