@@ -2,10 +2,10 @@
 
 1. A character model is counted over all documents: which letter follows which two, among 26 letters, other letters and
    what is no letter.
-2. A disguised token (digits or signs between letters, a letter drawn out, letters set apart by blanks
-   or dots) is read as a noisy channel: each sign becomes a column of a lattice with the letters it may
-   stand for and their costs, a run of one letter may have been one or two, and a sign between single letters may be
-   nothing. The cheapest path under the character model is the restored word.
+2. A disguised token (digits or signs between letters, a letter doubled or drawn out, letters set apart by white
+   space or dots) is read as a noisy channel: each sign becomes a column of a lattice with the letters it may
+   stand for and their costs, a run of one letter may have been one or two, a sign between single letters may be
+   nothing, and white space between them nothing or the end of a word. The cheapest path under the character model is the restored word.
 3. Words and their beginnings of 4 to 6 letters are evidence. A bounded sample of labelled rows gives,
    for each, the documents of either label that hold it; rules are chosen one by one, each for the toxic documents
    that no rule before it explains, then those that are certain by themselves. A beginning that several different words
@@ -68,7 +68,8 @@ CLASSES = 28
 _EDGE = re.compile(r"^[^\w@$€£]+|[^\w@$!€£+]+$")
 _SIGNS = "".join(re.escape(c) for c in LEET)
 _DISGUISED = re.compile(rf"[^\W\d_][{_SIGNS}]|[{_SIGNS}][^\W\d_]|(.)\1\1|^(?:\S[{re.escape(SEPARATORS)}])+\S$")
-_APART = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_APART = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
 
 
 def letter_class(sign: str) -> int:
@@ -112,11 +113,14 @@ def letter_costs(counts: np.ndarray) -> np.ndarray:
 
 
 def _lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Columns of what each run of a sign may stand for, with costs."""
+    """Columns of what each run of a sign may stand for, with costs; a blank is nothing or ends a word."""
     apart = len(token) > 2 and all((c in SEPARATORS) == bool(n % 2) for n, c in enumerate(token))
     columns = []
     for run in re.finditer(r"(.)\1*", token, re.S):
         sign, length = run[1], len(run[0])
+        if sign == " ":
+            columns.append([("", LEFT_OUT), (" ", LEFT_OUT)])
+            continue
         if apart and sign in SEPARATORS:
             columns.append([("", LEFT_OUT)])
             continue
@@ -149,7 +153,7 @@ def restore(token: str, costs: np.ndarray) -> str:
 
 def words_of(token: str, costs: np.ndarray) -> list[str]:
     """The word or words that a lower-case token may be: itself without signs around, and as restored."""
-    core = _EDGE.sub("", token)
+    core = _EDGE.sub("", token.replace(" ", "."))
     out = [core] if core else []
     if core and _DISGUISED.search(core):
         read = restore(core, costs)
@@ -158,9 +162,9 @@ def words_of(token: str, costs: np.ndarray) -> list[str]:
 
 
 def tokens(text: str) -> set[str]:
-    """Distinct lower-case tokens, and those whose letters are set apart by blanks as one."""
+    """Distinct lower-case tokens, and runs of letters that are set apart by white space as one, with a blank between two."""
     low = text.lower()
-    return set(low.split()) | {m[0].replace(" ", ".") for m in _APART.finditer(low)}
+    return set(low.split()) | {" ".join(m[0].split()) for m in _APART.finditer(low)}
 
 
 def evidence(word: str) -> list[str]:
@@ -168,6 +172,23 @@ def evidence(word: str) -> list[str]:
     return [word + " ", *{word[:n] for n in BEGINNINGS if len(word) >= n}] if len(word) >= 3 else []
 
 
+def hidden(token: str, costs: np.ndarray) -> set[str]:
+    """Evidence beside that of ``words_of``: a letter doubled, and words in a run of letters set apart by white space.
+
+    Nothing tells where a word of such a run begins, so beginnings count from each of its letters, whole words where the
+    character model sees them.
+    """
+    core = _EDGE.sub("", token)
+    read = restore(core.replace(" ", "."), costs) if " " in core else core
+    reads = [read]
+    if _DOUBLED.search(read) and not _DISGUISED.search(read):
+        reads.append(restore(read, costs))
+    if " " not in core:
+        return {e for w in reads[1:] if w != core for e in evidence(w)}
+    out = {w[k : k + n] for w in reads for n in BEGINNINGS for k in range(len(w) - n + 1)}
+    return out | {e for w in restore(core, costs).split() for e in evidence(w)}
+
+
 @dataclass
 class Model:
     """Rules with the chance that a text that holds one is toxic, the rate without any, and the character model."""
@@ -178,7 +199,8 @@ class Model:
     known: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def _matched(self, token: str) -> tuple[str, ...]:
-        out = {e for w in words_of(token, self.costs) for e in evidence(w) if e in self.rules}
+        found = {e for w in words_of(token, self.costs) for e in evidence(w)} | hidden(token, self.costs)
+        out = found & self.rules.keys()
         if len(self.known) > MOST_TOKENS:
             self.known.clear()
         self.known[token] = tuple(out)
@@ -266,7 +288,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
         for piece in slices(batches):
             seen: list[Counter] = [Counter(), Counter(), Counter()]  # other documents, toxic ones, words of toxic ones
             for toxic, text in zip(piece.column("toxic").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                own = Counter(e for w in {w for t in tokens(text) for w in words_of(t, costs)} for e in evidence(w))
+                found = tokens(text)
+                own = Counter(e for w in {w for t in found for w in words_of(t, costs)} for e in evidence(w))
+                own |= Counter({e for t in found for e in hidden(t, costs)})  # no words of their own
                 seen[toxic].update(own.keys())
                 if toxic:
                     seen[2].update(own)

@@ -168,6 +168,19 @@ def test_toxicity_on_rows_held_out(spark, insults):
     assert kept.columns == [*docs.columns, "score"] and kept.count() == sum(not r.predicted for r in out)
 
 
+def test_words_set_apart_beside_others_and_doubled_letters(spark, insults):
+    docs, labels, _ = insults
+    model = toxicity.fit(docs, labels)
+    spaced = ["a n i t w i t", "n i t w i t n i t w i t", "n  i  t  w  i  t", "n\ti\tt\tw\ti\tt", "n\ni\nt\nw\ni\nt"]
+    for disguised in (*spaced, "nittwit", "niitwit", "bblockhead"):
+        assert model.score(f"some words {disguised} more words") >= 0.7, disguised
+    for clean in ("a b", "a b c", "a  b\tc\nd", "some wwords", "b l o o m"):
+        assert model.score(clean) < 0.7, clean
+    costs = model.costs
+    assert {"stup", "stupid"} <= toxicity.hidden("a s t u p i d", costs) and "idio" in toxicity.hidden("a i d d i o t", costs)
+    assert not toxicity.hidden("plain", costs) and toxicity.hidden("a b c", costs) <= {"abc "}
+
+
 def test_no_labels(spark):
     docs = documents(spark, extra=CLASHING)
     none = spark.createDataFrame([], "doc_id long, toxic int")
