@@ -23,6 +23,7 @@ empty table gives an empty one. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -39,8 +40,6 @@ from cityweave.llm.common import id_text, slices, stored, text_of
 
 #: Labelled rows that the fit reads, at most, of either label.
 MOST_LABELLED = 4000
-#: Words and beginnings that may be rules: those in the most toxic documents of the sample.
-MOST_CANDIDATES = 5000
 #: A rule needs so many toxic documents, and so many that no other rule explains.
 LEAST_DOCUMENTS, LEAST_NEW = 3, 2
 #: Or one, if so many different words of a toxic document begin with it on average.
@@ -256,19 +255,29 @@ class Candidate:
 
 def choose(candidates: dict[str, Candidate], toxic: set) -> dict[str, float]:
     """Rules with the chance that a text that holds one is toxic."""
-    good = {name: c for name, c in candidates.items() if c.good}
     left, rules = set(toxic), {}
-    while left and good:
-        new = {name: len(c.documents & left) for name, c in good.items()}
-        good = {name: c for name, c in good.items() if new[name] >= (1 if c.bursts else LEAST_NEW)}
-        if not good:
-            break
-        best = min(good, key=lambda name: (good[name].others - new[name], -good[name].words, len(name), name))
-        rules[best] = good[best].precision
-        left -= good.pop(best).documents
+
+    def rank(name: str) -> tuple:
+        c = candidates[name]
+        return (c.others - len(c.documents & left), -c.words, len(name), name)
+
+    # A rank only ever gets worse, so one that is still the same when it comes up is the best of all.
+    heap = [rank(name) for name, c in candidates.items() if c.good]
+    heapq.heapify(heap)
+    while left and heap:
+        name = heap[0][-1]
+        c = candidates[name]
+        if len(c.documents & left) < (1 if c.bursts else LEAST_NEW):
+            heapq.heappop(heap)
+        elif (now := rank(name)) != heap[0]:
+            heapq.heapreplace(heap, now)
+        else:
+            heapq.heappop(heap)
+            rules[name] = c.precision
+            left -= c.documents
     sure = max(8, math.ceil(0.02 * len(toxic)))
     for name, c in sorted(candidates.items(), key=lambda x: (len(x[0]), x[0])):
-        begun = name in rules or any(name.startswith(r) for r in rules if not r.endswith(" "))
+        begun = name in rules or any(name[:n] in rules for n in BEGINNINGS if not name[:n].endswith(" "))
         if c.good and len(c.documents) >= sure and not c.others and not begun:
             rules[name] = c.precision
     return rules
@@ -306,22 +315,24 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     counted = counted.groupBy("candidate").agg(*[F.sum(c).alias(c) for c in ("toxic", "other", "words")])
     held = (F.col("toxic") >= LEAST_DOCUMENTS) | (F.col("words") >= BURST * F.col("toxic"))
     likely = held & (F.col("toxic") > 0) & (F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + weight * F.col("other")))
-    best = counted.where(likely).orderBy(F.desc("toxic"), F.desc("words"), "other", "candidate").limit(MOST_CANDIDATES).collect()
+    best = counted.where(likely).collect()  # words of the sample's toxic documents
+    numbers = {row.candidate: n for n, row in enumerate(best)}
     finder = Model({row.candidate: 0.0 for row in best}, 0.0, costs)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            found = [sorted(finder.matched(t)) for t in piece.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(found, pa.list_(pa.string()))], ["doc_id", "found"])
+            found = [sorted(numbers[e] for e in finder.matched(t)) for t in piece.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "found"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = texts.where("toxic = 1").select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, found array<string>").collect()  # the sample's
-    hits: dict[str, set] = {c: set() for c in finder.rules}
+    rows = texts.where("toxic = 1").select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, found array<int>").collect()  # the sample's
+    hits: list[set] = [set() for _ in best]
     for row in rows:
-        for c in row.found:
-            hits[c].add(row.doc_id)
-    rules = choose({r.candidate: Candidate(frozenset(hits[r.candidate]), r.words, weight * r.other) for r in best}, {row.doc_id for row in rows})
-    missed = sum(1 for row in rows if not rules.keys() & set(row.found)) / len(rows)
+        for n in row.found:
+            hits[n].add(row.doc_id)
+    rules = choose({r.candidate: Candidate(frozenset(own), r.words, weight * r.other) for r, own in zip(best, hits, strict=True)}, {row.doc_id for row in rows})
+    chosen = {numbers[name] for name in rules}
+    missed = sum(1 for row in rows if chosen.isdisjoint(row.found)) / len(rows)
     odds = (missed * full[1] + 0.5) / (full[0] + full[1] + 1)
     return Model(rules, min(odds, LIMIT / 2), costs)
 

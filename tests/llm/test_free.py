@@ -181,6 +181,34 @@ def test_words_set_apart_beside_others_and_doubled_letters(spark, insults):
     assert not toxicity.hidden("plain", costs) and toxicity.hidden("a b c", costs) <= {"abc "}
 
 
+def test_rare_rules_of_a_rich_vocabulary_are_kept(spark):
+    """6,000 words that stand in three toxic documents come before a burst that rests on one."""
+    digits = lambda n: "".join("abcdefghij"[int(d)] for d in f"{n:04}")
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic, others = ids[:13], ids[13:]
+    common = " ".join("q" + digits(n) for n in range(6000))
+    data = [(i, common, "en", "a") for i in toxic[:12]] + [(toxic[12], " ".join("zwack" + digits(n) for n in range(9)), "en", "a")]
+    data += [(i, "some words", "en", "a") for i in others]
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, data), labels)
+    assert any(rule.startswith("zwac") for rule in model.rules) and model.score("a zwackkkk") >= 0.7
+
+
+def test_rules_are_chosen_as_one_by_one():
+    rng = random.Random(6)
+    for _ in range(50):
+        found = {f"w{n} ": toxicity.Candidate(frozenset(rng.sample(range(30), rng.randrange(1, 9))), rng.randrange(1, 40), rng.choice([0.0, 0.0, 0.3])) for n in range(40)}
+        good, left, want = {k: c for k, c in found.items() if c.good}, set(range(30)), []
+        while True:
+            new = {k: len(c.documents & left) for k, c in good.items()}
+            good = {k: c for k, c in good.items() if new[k] >= (1 if c.bursts else toxicity.LEAST_NEW)}
+            if not left or not good:
+                break
+            want.append(min(good, key=lambda k: (good[k].others - new[k], -good[k].words, len(k), k)))
+            left -= good.pop(want[-1]).documents
+        assert list(toxicity.choose(found, set(range(30))))[: len(want)] == want
+
+
 def test_no_labels(spark):
     docs = documents(spark, extra=CLASHING)
     none = spark.createDataFrame([], "doc_id long, toxic int")
