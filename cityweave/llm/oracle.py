@@ -70,4 +70,32 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, d.doc_id = compon
 FROM documents d JOIN lowest ON id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_poisson_mix": _MIX, "op4_exact_dedup": _COPIES, "op8_chat_format": _CHAT, "op10_minhash_near_dedup": _NEAR}
+_MIDDLE = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+         WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM t),
+cut AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS prefix, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+    array_to_string(u[greatest(x, y) + 1:], '') AS suffix
+  FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_poisson_mix": _MIX,
+    "op4_exact_dedup": _COPIES,
+    "op8_chat_format": _CHAT,
+    "op10_minhash_near_dedup": _NEAR,
+    "op11_fill_middle": _MIDDLE,
+}

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityweave.llm import binary_ids, chat, exact_dedup, hash_tree, merkle, mixing, near_dedup, prefix_bpe, secret_scan, toxicity
+from cityweave.llm import (
+    binary_ids,
+    chat,
+    exact_dedup,
+    fill_middle,
+    hash_tree,
+    merkle,
+    mixing,
+    near_dedup,
+    prefix_bpe,
+    secret_scan,
+    suffix_dedup,
+    toxicity,
+    turn_repair,
+)
 from cityweave.llm.common import table
 
 #: Vocabulary files, installed on every machine.
@@ -89,6 +103,50 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.find_components(table(spark, sf_dir, "documents"))
 
 
+def filled_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in: by a checksum of conversation and turn, rows are dropped, emptied, cut, repeated or given a role."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", spaced("conv_id"), spaced("turn"))) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("kind") == 0, 0).when(F.col("kind") == 3, 2).otherwise(1)
+    marked = rows.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), kind.alias("kind"))
+    return marked.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)),
+    ).drop("col")
+
+
+def repaired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, repaired; one that lost all of its rows counts none of anything."""
+    rows = table(spark, sf_dir, "conversations")
+    fixed = turn_repair.repair(damaged(rows)).withColumnRenamed("conv_id", "id")
+    ids = rows.select("conv_id").distinct()
+    out = ids.join(fixed, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    written = F.array_join(F.transform("repaired", lambda t: F.concat_ws(":", t["role"], t["text"])), "\n")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce(written, F.lit("")), 256).alias("repaired_sha256"),
+    )
+
+
+def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte that a repeated string of 400 bytes covers goes, that of its first occurrence as well."""
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mix": mix_sources,
     "op2_binary_token_ids": token_ids,
@@ -100,4 +158,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": conversations,
     "op9_secret_links": secrets,
     "op10_minhash_near_dedup": near_copies,
+    "op11_fill_middle": filled_middles,
+    "op12_turn_repair": repaired_turns,
+    "op13_suffix_dedup": without_repeats,
 }

@@ -16,7 +16,7 @@ def test_same_rows(spark, sf_dir, name):
 
 def test_registered():
     assert {*REGISTRY, "pipeline"} <= set(entry_points.queries())
-    assert [sum(name.startswith(f"op{n}_") for name in REGISTRY) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in REGISTRY) for n in range(1, 14)] == [1] * 13
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +29,7 @@ def awkward(spark, tmp_path_factory):
     return full, none, documents(spark).count()
 
 
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - {"op1_poisson_mix", "op8_chat_format"}))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - {"op1_poisson_mix", "op8_chat_format", "op12_turn_repair"}))
 def test_a_row_per_document(spark, awkward, name):
     full, none, n = awkward
     assert REGISTRY[name](spark, full).count() == n
