@@ -4,7 +4,8 @@
     turn         = "### " role ": " text "</turn>"
 
 Roles are URL-encoded, so they hold neither blank nor colon. A conversation is rendered with its texts as
-they are, parsed again and compared with its source. If the turns differ, conflicting content is escaped
+they are, parsed again and compared with its source. The parser takes an opening inside a text for a forged turn
+and rejects it, as it ends a turn at the first close. If the turns differ, conflicting content is escaped
 and the result parsed and compared again: first only the control strings and the escape sign, then every
 sign that a control string is made of. The level that came back identical is stored beside the text.
 
@@ -49,13 +50,14 @@ def render(turns: Column, level: int) -> Column:
 
 
 def parse(formatted: Column, level: int) -> Column:
-    """Turns of a rendered text, roles and texts unescaped. What doesn't follow the grammar becomes a null role."""
+    """Turns of a rendered text, roles and texts unescaped. What doesn't follow the grammar becomes a null role,
+    a turn that holds the opening of another one included."""
     pieces = F.split(formatted, CLOSE, -1)
     turns = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
 
     def turn(piece: Column) -> Column:
         at = F.locate(SEPARATOR, piece)
-        good = piece.startswith(OPEN) & (at > len(OPEN))
+        good = piece.startswith(OPEN) & (at > len(OPEN)) & (F.locate(OPEN, piece, 2) == 0)
         role = F.when(good, F.url_decode(F.substring(piece, F.lit(len(OPEN) + 1), at - len(OPEN) - 1)))
         text = unescaped(F.substring(piece, at + len(SEPARATOR), F.char_length(piece)), level)
         return F.struct(role.alias("role"), text.alias("text"))
