@@ -71,7 +71,7 @@ def place(docs: DataFrame, shards: int = LAYOUT, chunks: int = CHUNKS) -> DataFr
     """One row per document: ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``.
 
     ``slot`` numbers the rows of a shard from 0 without gaps. A shard is numbered in ``chunks`` parts by
-    a hash of the id, so that no task holds a whole shard.
+    a hash of the id, size and checksum, so that no task holds a whole shard, nor all rows that repeat an id or lack one.
     """
     rows = docs.select("doc_id", F.octet_length(text_of()).cast("bigint").alias("bytes"), F.crc32(text_of()).alias("text_crc32"))
     rows = rows.select(
@@ -81,7 +81,7 @@ def place(docs: DataFrame, shards: int = LAYOUT, chunks: int = CHUNKS) -> DataFr
         F.lit("key").alias("law"),
         shard_of(tree(shards)).alias("shard"),
         shard_of(tree(shards + 1)).alias("grown_shard"),
-        F.pmod(F.xxhash64(id_text()), F.lit(chunks)).cast("int").alias("chunk"),
+        F.pmod(F.xxhash64(id_text(), F.col("bytes"), F.col("text_crc32")), F.lit(chunks)).cast("int").alias("chunk"),
     )
     # A row per shard and chunk: bounded by the arguments.
     counts = rows.groupBy("shard", "chunk").agg(F.count("*").alias("rows"))
