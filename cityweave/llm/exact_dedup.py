@@ -4,7 +4,7 @@ Texts are equal when they are identical after every run of white space has becom
 
 1. *Directory.* A text's key is a 64-bit hash. The leading bits name a slot of the directory, and a bucket that holds more keys
    than its capacity is split on the next bit, which doubles the directory where needed, down to ``MAX_DEPTH`` bits; a bucket that is
-   still overfull there just stays larger. Buckets in a row are dealt to owners by their rows.
+   still overfull there just stays larger. Buckets in a row are dealt to owners by the bytes of their texts.
 2. *Inserts.* Each row looks up its slot, goes to the owner of its bucket, and is put into the chain of its key: texts that
    share a hash are sorted by their bytes, and only equal bytes share a place in the chain. A key with more rows than a bucket has room, and more
    than one row in ``SHARE`` of the table, is hot: its texts are brought down to one row each inside every task before they move.
@@ -30,11 +30,11 @@ WHITE = r"[\x20\x09-\x0D]+"
 #: Bits of the largest directory, which bounds it to 65,536 slots.
 MAX_DEPTH = 16
 #: Keys in a bucket before it is split.
-CAPACITY = 4096
+CAPACITY = 1024
 #: A hot key has more than one row in so many, so there are no more hot keys than that.
 SHARE = 10_000
-#: Rows of the buckets of one owner, unless one bucket has more.
-OWNED = 20_000
+#: Bytes of text in the buckets of one owner, unless one bucket has more.
+OWNED = 8 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -48,16 +48,16 @@ def key_of(norm: Column, hash_bits: int = 64) -> Column:
 
 
 def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH, owned: int = OWNED) -> DataFrame:
-    """The bucket of each slot: ``slot``, ``bucket_depth``, ``bucket``, ``owner`` from distinct ``hash`` keys with their ``rows``.
+    """The bucket of each slot: ``slot``, ``bucket_depth``, ``bucket``, ``owner`` from distinct ``hash`` keys with the ``bytes`` of their texts.
 
     A prefix is a bucket when it holds at most ``capacity`` keys, or can't be split further, and the
     prefix one bit shorter was overfull. Only prefixes that hold keys get slots. Owners are numbered along the hash.
     """
-    slots = keys.select(F.shiftrightunsigned("hash", 64 - max_depth).alias("slot"), "rows").groupBy("slot")
-    slots = slots.agg(F.count("*").alias("keys"), F.sum("rows").alias("rows"))
+    slots = keys.select(F.shiftrightunsigned("hash", 64 - max_depth).alias("slot"), "bytes").groupBy("slot")
+    slots = slots.agg(F.count("*").alias("keys"), F.sum("bytes").alias("bytes"))
     levels = slots.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(max_depth))))
     prefix = F.expr(f"shiftright(slot, {max_depth} - depth)")
-    levels = levels.withColumn("prefix", prefix).groupBy("depth", "prefix").agg(F.sum("keys").alias("keys"), F.sum("rows").alias("rows"))
+    levels = levels.withColumn("prefix", prefix).groupBy("depth", "prefix").agg(F.sum("keys").alias("keys"), F.sum("bytes").alias("bytes"))
     parents = levels.select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"), F.col("keys").alias("parent_keys"))
     first = F.expr(f"shiftleft(prefix, {max_depth} - depth)")
     buckets = (
@@ -68,7 +68,7 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DE
         .withColumn("first", first)
     )
     before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket, 2 ** max_depth at most
-    owner = F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / owned).alias("owner")
+    owner = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / owned).alias("owner")
     last = F.expr(f"shiftleft(prefix + 1, {max_depth} - depth) - 1")
     owners = buckets.select("first", last.alias("last"), F.col("depth").alias("bucket_depth"), F.col("prefix").alias("bucket"), owner)
     return owners.select(F.explode(F.sequence("first", "last")).alias("slot"), "bucket_depth", "bucket", "owner")
@@ -79,12 +79,15 @@ class Index:
 
     def __init__(self, docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH, hash_bits: int = 64, share: int = SHARE) -> None:
         self.docs, self.max_depth, self.hash_bits = docs, max_depth, hash_bits
-        self.keys = stored(docs.select("doc_id", key_of(normalised(text_of()), hash_bits).alias("hash")), "dedup-keys")
-        counts = stored(self.keys.groupBy("hash").agg(F.count("*").alias("rows")), "dedup-counts")
+        key = key_of(normalised(text_of()), hash_bits).alias("hash")
+        self.keys = stored(docs.select("doc_id", key, F.octet_length(text_of()).alias("bytes")), "dedup-keys")
+        counts = stored(self.keys.groupBy("hash").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")), "dedup-counts")
         total = self.keys.count()
         hot = counts.where(F.col("rows") > max(capacity, total / share))
         self.hot = stored(hot.select("hash"), "dedup-hot")  # ``share`` rows at most
-        self.slots = stored(directory(counts, capacity, max_depth), "dedup-directory")  # 2 ** max_depth rows at most
+        cold = counts.select("hash", F.when(F.col("rows") > max(capacity, total / share), 0).otherwise(F.col("bytes")).alias("bytes"))
+        self.slots = stored(directory(cold, capacity, max_depth), "dedup-directory")  # 2 ** max_depth rows at most
+        self.owners = 1 + (self.slots.agg(F.max("owner")).first()[0] or 0)
 
     def looked_up(self, rows: DataFrame) -> DataFrame:
         """Rows with the bucket that the directory names for their ``hash``."""
@@ -101,7 +104,7 @@ class Index:
         Columns: ``row`` (the payload), ``id``, ``norm``, ``hash``, ``bucket_depth``, ``bucket``, ``owner``, ``chain``.
         """
         rows = self._hashed(payload).join(F.broadcast(self.hot), "hash", "left_anti")
-        placed = self.looked_up(rows).repartition("owner").withColumn("norm", normalised(F.col("text"))).drop("text")
+        placed = self.looked_up(rows).repartition(self.owners, "owner").withColumn("norm", normalised(F.col("text"))).drop("text")
         return placed.withColumn("chain", F.dense_rank().over(Window.partitionBy("owner", "bucket", "hash").orderBy("norm")))
 
     def inserted_hot(self, payload: Column) -> DataFrame:

@@ -77,7 +77,7 @@ def test_one_row_of_each_text_stays(spark):
 
 
 def test_directory_splits_what_is_overfull(spark):
-    keys = spark.range(1000).select(F.xxhash64("id").alias("hash"), F.lit(3).alias("rows"))
+    keys = spark.range(1000).select(F.xxhash64("id").alias("hash"), F.lit(3).alias("bytes"))
     found = exact_dedup.directory(keys, capacity=50, max_depth=10, owned=600)
     placed = keys.withColumn("slot", F.shiftrightunsigned("hash", 54)).join(found, "slot")
     sizes = [r["count"] for r in placed.groupBy("bucket_depth", "bucket").count().collect()]
