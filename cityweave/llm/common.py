@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -52,6 +55,41 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+#: A key is hot when it holds more than one row in so many; there are no more hot keys than that.
+HOT_SHARE = 10_000
+
+
+def meet(many: DataFrame, one: DataFrame, keys: list[str], rows: str, total: int) -> DataFrame:
+    """Inner join with a stored table of one row per key, whose column ``rows`` counts the key's rows among ``total``.
+
+    Hot keys are at most ``HOT_SHARE``, so their side is broadcast and their rows stay where they are; all others meet by a shuffle.
+    """
+    hot = F.col(rows) > total / HOT_SHARE
+    few, rest = F.broadcast(one.where(hot)), one.where(~hot)
+    others = many.join(few.select(*keys), keys, "left_anti")
+    return many.join(few, keys).unionByName(others.hint("merge").join(rest, keys))
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives freed memory back to the system at its end.
+
+    Python processes wait for the next task of any stage, and what they hold meanwhile counts for their executor.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that the texts of one piece come to about ``most`` bytes; a longer text is alone.
 

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from cityweave.llm.common import slices, stored, text_of
+from cityweave.llm.common import slices, small_side, stored, text_of, tidy
 from cityweave.llm.components import components
 
 WORDS = 5
@@ -58,7 +58,9 @@ CLOSE = 0.7
 #: Share with the centre from which whatever is close to a member agrees with the centre in ``FAMILY``.
 SETTLED = FAMILY + 1 - CLOSE
 #: Members, and shingles in all, of a block.
-BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+#: Rows of ids, 40 bytes each at most, that are broadcast.
+SMALL = 500_000
 #: Members of a block of a bucket.
 BUCKET_BLOCK = 2048
 
@@ -153,7 +155,7 @@ def profiles(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "buckets", "marks"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, buckets array<bigint>, marks binary")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, digest binary, buckets array<bigint>, marks binary")
 
 
 def star_edges(classes: DataFrame) -> DataFrame:
@@ -308,8 +310,9 @@ def links(docs: DataFrame, classes: DataFrame, family: DataFrame, percent: int =
             yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in names], pa.array(sets, pa.binary())], [*names, "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), text_of().alias("text"))
-    found = texts.hint("merge").join(placed, "id").select("family", "id", "blocks", "hub", "text")
-    sets = stored(found.mapInArrow(run, "family bigint, id bigint, blocks bigint, hub boolean, shingles binary"), "shingles")
+    # Few documents have a near one, so that the ids usually go to the texts; beyond the bound both are shuffled.
+    found = texts.join(small_side(stored(placed, "placed"), SMALL), "id").select("family", "id", "blocks", "hub", "text")
+    sets = stored(found.mapInArrow(tidy(run), "family bigint, id bigint, blocks bigint, hub boolean, shingles binary"), "shingles")
 
     every_block = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     own_block = _dealt("id", "blocks", 0)
@@ -355,4 +358,5 @@ def find_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def drop_near(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents without near duplicates: the one with the smallest id of each component, all input columns."""
     gone = find_components(docs, percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.hint("merge").join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = small_side(stored(gone, "gone"), SMALL)
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")

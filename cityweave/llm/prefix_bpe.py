@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityweave.llm.common import slices, text_of
+from cityweave.llm.common import slices, text_of, tidy
 
 #: Fixed: Unicode's white space.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -99,6 +99,11 @@ class PrefixEncoder:
         self.spelled = Pool(self.bytes_of)
         self.decimal = Pool([b"%d," % n for n in range(size)])
 
+    def forget(self) -> None:
+        """Drops what was remembered of texts, so that an idle process holds the vocabulary only."""
+        for known in (self.units, self.pieces, self.pairs):
+            known.clear()
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two tokens stay apart when the bytes of both are encoded together."""
         known = self.pairs.get((left, right))
@@ -200,9 +205,10 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
         for piece in slices(batches):
             ids = pa.array([own.encode(t).astype(np.int32) for t in piece.column("text").to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), ids], ["doc_id", "ids"])
+        own.forget()
 
     rows = _rows(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -215,7 +221,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -233,6 +239,7 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
                 texts.append(sha256(own.decode(numbers).encode()))
             columns = [piece.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
 
     rows = _rows(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityweave.llm.common import slices, stored, text_of
+from cityweave.llm.common import meet, slices, stored, text_of, tidy
 
 #: Bytes of a window and of an anchor; an anchor fits a window at PLACES places.
 LEAST, GRAM = 400, 192
@@ -156,7 +156,7 @@ def occurrences(keyed: DataFrame) -> DataFrame:
                 columns = [doc[number], mark[number], begin, windows.astype(np.int32), lead.astype(np.int32), anchor, digest]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "mark", "begin", "windows", "lead", "anchor", "digest"])
 
-    return keyed.select("doc", "mark", "text").mapInArrow(run, _OCCURRENCE)
+    return keyed.select("doc", "mark", "text").mapInArrow(tidy(run), _OCCURRENCE)
 
 
 def suffix_ranks(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -283,7 +283,7 @@ def _cut(keyed: DataFrame, kinds: DataFrame) -> DataFrame:
                     rows = [{**p, "doc": doc, "mark": mark, "bytes": text[p["begin"] : p["begin"] + p["windows"] + LEAST - 1]} for p in some]
                     yield pa.RecordBatch.from_pylist(rows, schema=_arrow_segment)
 
-    return keyed.select("doc", "mark", "text").hint("merge").join(wanted, ["doc", "mark"]).mapInArrow(run, schema)
+    return keyed.select("doc", "mark", "text").hint("merge").join(wanted, ["doc", "mark"]).mapInArrow(tidy(run), schema)
 
 
 _arrow_segment = pa.schema(
@@ -315,7 +315,7 @@ def _steps(crowded: DataFrame) -> DataFrame:
                     at += n
                 yield pa.RecordBatch.from_pylist(rows, schema=_arrow_segment)
 
-    return crowded.select(*_SEGMENT).mapInArrow(run, schema)
+    return crowded.select(*_SEGMENT).mapInArrow(tidy(run), schema)
 
 
 def _alone(crowded: DataFrame, keep_first: bool) -> DataFrame:
@@ -330,11 +330,11 @@ def _alone(crowded: DataFrame, keep_first: bool) -> DataFrame:
                     rows.append({"window": window, "doc": row["doc"], "mark": row["mark"], "begin": row["begin"] + k})
                 yield pa.RecordBatch.from_pylist(rows)
 
-    found = crowded.select(*_SEGMENT).mapInArrow(run, "window binary, doc bigint, mark bigint, begin bigint")
+    found = crowded.select(*_SEGMENT).mapInArrow(tidy(run), "window binary, doc bigint, mark bigint, begin bigint")
     found = stored(found.distinct(), "windows-alone")
     place = F.struct("doc", "mark", "begin")
     counted = found.groupBy("window").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    both = found.hint("merge").join(counted, "window")
+    both = meet(found, stored(counted, "windows-repeated"), ["window"], "n", found.count())
     if keep_first:
         both = both.where(place != F.col("first"))
     return both.select("doc", "mark", "begin", (F.col("begin") + LEAST).alias("stop"))
@@ -342,14 +342,13 @@ def _alone(crowded: DataFrame, keep_first: bool) -> DataFrame:
 
 def _blocked(cut: DataFrame, keep_first: bool, most_kinds: int) -> tuple[DataFrame, DataFrame]:
     """Spans from the anchors that fit a block, and the segments of the others."""
-    sizes = cut.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    sizes = stored(sizes.where(F.col("kinds") > most_kinds), "crowded-anchors")
-    total = cut.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    parts = max(1, -(-total // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("anchor"), F.lit(parts)).alias("block")
-    fits = cut.hint("merge").join(sizes, "anchor", "left_anti").select(*_SEGMENT, block)
-    crowded = cut.hint("merge").join(sizes, "anchor", "left_semi").select(*_SEGMENT)
-    return fits.groupBy("block").applyInArrow(_compare(keep_first), _SPAN), crowded
+    rows, total = cut.agg(F.count("*"), F.sum(F.octet_length("bytes"))).first()
+    sizes = stored(cut.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchors")
+    sized = meet(cut, sizes, ["anchor"], "kinds", rows)
+    parts = max(1, -(-(total or 0) // BLOCK_BYTES))
+    fits = sized.where(F.col("kinds") <= most_kinds).withColumn("block", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
+    spans = fits.select(*_SEGMENT, "block").repartition(parts, "block").groupBy("block").applyInArrow(_compare(keep_first), _SPAN)
+    return spans, sized.where(F.col("kinds") > most_kinds).select(*_SEGMENT)
 
 
 def repeats(docs: DataFrame, keep_first: bool = False, most_kinds: int = MOST_KINDS) -> DataFrame:
@@ -359,16 +358,17 @@ def repeats(docs: DataFrame, keep_first: bool = False, most_kinds: int = MOST_KI
     place = F.struct("doc", "mark", "begin")
     earliest = [F.min(place).alias("first")] if keep_first else []
     shared = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"), *earliest)
-    shared = shared.where("n > 1").withColumn("mixed", F.col("low") != F.col("high")).drop("n", "low", "high")
-    held = stored(found.hint("merge").join(shared, "anchor"), "shared-segments")
+    shared = stored(shared.where("n > 1").withColumn("mixed", F.col("low") != F.col("high")).drop("low", "high"), "shared-anchors")
+    held = stored(meet(found, shared, ["anchor"], "n", found.count()).drop("n"), "shared-segments")
     # Several kinds under an anchor: what occurs several times is a repeat, and one segment of each is compared by its bytes.
     mixed = held.where("mixed").drop("first")
     kinds = mixed.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "begin", "windows", "lead")).alias("first"))
     kinds = stored(kinds, "kinds")
-    several = kinds.where("n > 1").select("anchor", "digest", *[F.struct("first.doc", "first.mark", "first.begin").alias("first")] * keep_first)
+    several = kinds.where("n > 1").select("anchor", "digest", "n", *[F.struct("first.doc", "first.mark", "first.begin").alias("first")] * keep_first)
+    copied = meet(mixed, several, ["anchor", "digest"], "n", mixed.count())
     # One kind: all of its occurrences are repeats.
     columns = ["doc", "mark", "begin", "windows", *["first"] * keep_first]
-    whole = held.where("NOT mixed").select(*columns).unionByName(mixed.hint("merge").join(several, ["anchor", "digest"]).select(*columns))
+    whole = held.where("NOT mixed").select(*columns).unionByName(copied.select(*columns))
     if keep_first:
         whole = whole.where(place != F.col("first"))
     out = whole.select("doc", "mark", "begin", (F.col("begin") + F.col("windows") - 1 + LEAST).alias("stop"))
@@ -415,4 +415,4 @@ def remove_repeats(docs: DataFrame, keep_first: bool = False, most_kinds: int =
             yield pa.RecordBatch.from_arrays([piece.column("id"), *columns, pa.array([d[0] for d in done], pa.binary())], names)
 
     both = keyed.hint("merge").join(spans, ["doc", "mark"], "left").select("id", "text", "spans")
-    return both.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return both.mapInArrow(tidy(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from cityweave.llm.common import id_text, slices, stored, text_of
+from cityweave.llm.common import id_text, slices, stored, text_of, tidy
 
 #: Labelled rows that the fit reads, at most, of either label.
 MOST_LABELLED = 4000
@@ -87,7 +87,7 @@ def count_letters(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, total = _class_table(), np.zeros(CLASSES**3, dtype=np.int64)
-        for piece in slices(batches):
+        for piece in slices(batches, most=1 << 20):
             for text in piece.column("text").to_pylist():
                 points = np.frombuffer(f" {text} ".lower().encode("utf-32-le"), "<u4")
                 row = classes[np.where(points < 1 << 16, points, 0)]
@@ -95,7 +95,7 @@ def count_letters(docs: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["gram", "n"])
 
-    grams = docs.select(text_of().alias("text")).mapInArrow(run, "gram bigint, n bigint")
+    grams = docs.select(text_of().alias("text")).mapInArrow(tidy(run), "gram bigint, n bigint")
     out = np.zeros(CLASSES**3)
     for row in grams.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most 28 ** 3 rows
         out[row.gram] = row.n
@@ -294,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
         return Model({}, 0.0, costs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=1 << 20):
             seen: list[Counter] = [Counter(), Counter(), Counter()]  # other documents, toxic ones, words of toxic ones
             for toxic, text in zip(piece.column("toxic").to_pylist(), piece.column("text").to_pylist(), strict=True):
                 found = tokens(text)
@@ -311,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     full = labels.where(F.col("toxic").isin(0, 1) & ~held_out()).groupBy("toxic").count()
     full = {row["toxic"]: row["count"] for row in full.collect()}
     weight = full[0] / full[1] * sizes[1] / sizes[0]
-    counted = texts.select("toxic", "text").mapInArrow(count, "candidate string, toxic bigint, other bigint, words bigint")
+    counted = texts.select("toxic", "text").mapInArrow(tidy(count), "candidate string, toxic bigint, other bigint, words bigint")
     counted = counted.groupBy("candidate").agg(*[F.sum(c).alias(c) for c in ("toxic", "other", "words")])
     held = (F.col("toxic") >= LEAST_DOCUMENTS) | (F.col("words") >= BURST * F.col("toxic"))
     likely = held & (F.col("toxic") > 0) & (F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + weight * F.col("other")))
@@ -320,12 +320,12 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     finder = Model({row.candidate: 0.0 for row in best}, 0.0, costs)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=1 << 20):
             found = [sorted(numbers[e] for e in finder.matched(t)) for t in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "found"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = texts.where("toxic = 1").select("doc_id", "text").mapInArrow(find, f"doc_id {kind}, found array<int>").collect()  # the sample's
+    rows = texts.where("toxic = 1").select("doc_id", "text").mapInArrow(tidy(find), f"doc_id {kind}, found array<int>").collect()  # the sample's
     hits: list[set] = [set() for _ in best]
     for row in rows:
         for n in row.found:
@@ -342,17 +342,24 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     own = Model(model.rules, model.base, model.costs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=1 << 20):
             scores = [own.score(t or "") for t in piece.column("text").to_pylist()]
             columns = [*[piece.column(c) for c in names], pa.array(scores, pa.float64()), pa.array([int(s >= LIMIT) for s in scores], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "score", "predicted"])
 
     rows = docs.drop("score", "predicted")
     names = rows.columns
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
+    return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
-    """The documents that aren't rejected, all input columns."""
-    scored = score(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), fit(docs, labels, most))
-    return scored.where("predicted = 0").select("row.*")
+    """The documents that aren't rejected, all input columns. Only the text goes to Python, and a number comes back."""
+    model = fit(docs, labels, most)
+
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Model(model.rules, model.base, model.costs)
+        for batch in batches:
+            yield pa.array([own.score(t.as_py() or "") for t in batch], pa.float64())
+
+    chance = F.arrow_udf(DoubleType())(tidy(scored))
+    return docs.where(chance(F.col("text").cast("string")) < LIMIT)
