@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructType, TimestampNTZType, TimestampType
 
 from cityweave.functions.columns import field, is_missing, long_form, number, numeric_columns, text_columns
 from cityweave.functions.values import percent
@@ -38,10 +38,25 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)).cast("bigint"))
 
 
+def _comparable(value: Column, kind: DataType) -> Column:
+    """A value as JSON tells it apart: one zero, clocks to the microsecond, at any depth."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        return value + F.lit(0.0).cast(kind)
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value)
+    if isinstance(kind, TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), value)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _comparable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        inner = [_comparable(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind)]
+        return F.when(value.isNotNull(), F.struct(*inner))
+    return value
+
+
 def profile_duplicates(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group of equal rows. Digests of the rows travel, not the rows."""
-    zero = lambda c: field(c) + F.lit(0.0) if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) else field(c)
-    row = F.to_json(F.struct(*[zero(c).alias(f"c{i}") for i, c in enumerate(df.columns)]))
+    row = F.to_json(F.struct(*[_comparable(field(f.name), f.dataType).alias(f"c{i}") for i, f in enumerate(df.schema)]))
     digests = df.select(F.unhex(F.sha2(row, 256)).alias("digest"), F.octet_length(row).alias("bytes"))
     groups = digests.groupBy("digest", "bytes").agg(F.count("*").alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("duplicates"))

@@ -19,43 +19,58 @@ POLL_SECONDS = {"air": 15, "weather": 15, "traffic": 60}
 
 
 class Poll(InputPartition):
-    def __init__(self, location: str):
-        super().__init__(location)
-        self.location = location
+    def __init__(self, location: str, tick: int):
+        super().__init__((location, tick))
+        self.location, self.tick = location, tick
 
 
 class PollReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.fetch = options["fetch"]
         self.locations = json.loads(options["locations"])
+        self.arguments = json.loads(options.get("arguments") or "{}")
         self.interval = float(options.get("interval") or POLL_SECONDS[options["topic"]])
+        self.history = (options.get("history") or "false").lower() == "true"
+        self.first, self.last = (int(options[k]) if options.get(k) else None for k in ("first_tick", "last_tick"))
+
+    def _now(self) -> int:
+        return int(time.time() // self.interval)
 
     def initialOffset(self) -> dict:
-        return {"tick": 0}
+        if self.first is not None:
+            return {"tick": self.first - 1}
+        return {"tick": self._now() - 1 if self.history else 0}
 
     def latestOffset(self) -> dict:
-        return {"tick": int(time.time() // self.interval)}
+        return {"tick": self._now() if self.last is None else min(self.last, self._now())}
 
     def partitions(self, start: dict, end: dict) -> list[Poll]:
+        if self.history:
+            return [Poll(name, tick) for tick in range(start["tick"] + 1, end["tick"] + 1) for name in self.locations]
         # Missed ticks cannot be made up: a poll always gives the present state.
-        return [Poll(name) for name in self.locations] if end["tick"] > start["tick"] else []
+        return [Poll(name, end["tick"]) for name in self.locations] if end["tick"] > start["tick"] else []
 
     def read(self, partition: Poll) -> Iterator[tuple]:
         module, _, name = self.fetch.partition(":")
         stamp = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
+        when = {"tick": partition.tick} if self.history else {}
         try:
-            body = getattr(importlib.import_module(module), name)(partition.location)
-            yield partition.location, stamp, body, None
+            body = getattr(importlib.import_module(module), name)(partition.location, **when, **self.arguments)
+            yield partition.location, stamp, body, None, partition.tick
         except Exception as err:  # the caller's function may raise anything
-            yield partition.location, stamp, None, str(err)
+            yield partition.location, stamp, None, str(err), partition.tick
 
 
 class PolledFeed(DataSource):
     """``spark.readStream.format("polled_feed")`` with options
 
     - ``fetch``: ``module:function`` from location to JSON text, importable on the executors;
+    - ``arguments``: JSON object of further arguments by name;
     - ``locations``: JSON list of location names;
-    - ``interval``: seconds between polls; by default those of ``topic``, one of air, weather and traffic.
+    - ``interval``: seconds between polls; by default those of ``topic``, one of air, weather and traffic;
+    - ``history``: ``true`` for a feed that can be asked for the past. The function also gets ``tick``, the number of the interval,
+      and every tick is polled once for each location, those missed between two batches or restarts included;
+    - ``first_tick``, ``last_tick``: ticks to begin and to end with.
     """
 
     @classmethod
@@ -63,7 +78,7 @@ class PolledFeed(DataSource):
         return "polled_feed"
 
     def schema(self) -> str:
-        return "location string, report_time string, value string, error string"
+        return "location string, report_time string, value string, error string, tick bigint"
 
     def streamReader(self, schema: StructType) -> PollReader:
         return PollReader(dict(self.options))

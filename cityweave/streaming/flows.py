@@ -146,6 +146,15 @@ def stream_dedupe(stream: DataFrame, event_time: str, delay: str, keys: Sequence
     return stream.withWatermark(event_time, delay).dropDuplicates(columns)
 
 
+def stream_dedupe_moving(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """Drop repeats of a record by its keys alone, whatever time the repeat carries.
+
+    A feed that is asked again stamps the same incident anew. Its first delivery stays; a repeat is known by its keys until the watermark is
+    ``delay`` beyond the event time of that delivery, and only so long is it kept as state.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def with_event_time(flat: DataFrame, source: str = "report_time", output: str = "event_ts") -> DataFrame:
     """Event time as ``timestamp``, the type watermarks need, from clock text, ISO text or a clock.
 

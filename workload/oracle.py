@@ -387,3 +387,23 @@ UNION ALL SELECT 'all', 'recall', round(rec::DOUBLE, 4) FROM m""",
 ORACLE["fan_out_sinks"] = ORACLE["dq_rules"] + "".join(
     f"\nUNION ALL SELECT '{sink}', 'Written', CAST(count(*) AS DOUBLE) FROM lineitem" for sink in ("documents", "files")
 )
+
+_CITY = "CASE user_id % 3 WHEN 0 THEN 'Hanoi' WHEN 1 THEN 'Ap Ba' ELSE 'Ho Chi Minh City' END"
+ORACLE |= {
+    "profile_duplicates_clocks": """
+SELECT CAST((SELECT count(*) FROM events) - (SELECT count(*) FROM (SELECT DISTINCT event_type, date_trunc('day', ts), event_id % 3, user_id % 5 FROM events)) AS BIGINT) AS duplicates""",
+    "polled_events": f"""
+SELECT {_CITY} AS location, CAST(hour(ts) + 1 AS BIGINT) AS tick, event_id, value, CAST(NULL AS VARCHAR) AS error FROM events
+UNION ALL SELECT 'Nowhere', t, NULL, NULL, 'no such place' FROM (SELECT unnest(generate_series(1, 24)) AS t)""",
+    "stream_fan_out": """
+SELECT name, count(*) AS rows, count(DISTINCT event_id) AS different, round(sum(value), 2) AS total
+FROM events, (SELECT unnest(['files', 'documents']) AS name) GROUP BY name
+UNION ALL SELECT unnest(['RowCount > 0', 'Completeness `value` >= 0.5']), 3, 1, NULL""",
+    "stream_dedupe_moving": f"SELECT event_id, {_CITY} AS city, value, {SECOND} AS event_ts FROM events",
+    "partial_delivery": """
+SELECT event_id, CASE WHEN event_id % 91 = 0 THEN 'parked' ELSE 'delivered' END AS status,
+  CASE WHEN event_id % 91 = 0 THEN 3 WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS tries,
+  CASE WHEN event_id % 91 = 0 THEN 'throttled' END AS error, CASE WHEN event_id % 91 = 0 THEN 0 ELSE 1 END AS received
+FROM events""",
+    "combine_increments": aligned(60),
+}

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from pathlib import Path
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +15,14 @@ from pyspark.sql import functions as F
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
 from cityweave.operators import align, clean, cluster, features, flatten, models, profile, quality, quantiles, stats
+from cityweave.plans import bookmarks
 from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, TEXT, struct
 from cityweave.session import materialised, work_path
+from cityweave.sinks.delivery import deliver
 from cityweave.sinks.files import UPLOAD_RECORDS, fan_out, write_documents, write_json
+from cityweave.sinks.ledger import fan_out_sink, read_outcomes
 from cityweave.sources.concat_json import read_concat_json
+from cityweave.sources.polled import PolledFeed
 from cityweave.sources.topics import read_collection, read_stream, read_topic
 from cityweave.streaming import flows
 from workload import feeds
@@ -366,6 +373,17 @@ def profile_duplicates(spark, sf_dir):
     return profile.profile_duplicates(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+@query
+def profile_duplicates_clocks(spark, sf_dir):
+    """Rows whose clocks differ in microseconds only, and zeros of either sign inside of a struct."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_type",
+        F.timestamp_add("MICROSECOND", (F.col("event_id") % 3).cast("int"), F.date_trunc("DAY", "ts")).alias("ts"),
+        F.array(F.struct((F.when(F.col("event_id") % 2 == 0, 0.0).otherwise(-0.0) * F.lit(1.0)).alias("zero"), (F.col("user_id") % 5).alias("user"))).alias("nested"),
+    )
+    return profile.profile_duplicates(rows)
+
+
 @query
 def profile_nulls(spark, sf_dir):
     return profile.profile_nulls(_gappy_lineitem(spark, sf_dir))
@@ -839,3 +857,109 @@ def stream_upsert_compacted(spark, sf_dir):
     sink = flows.upsert_sink(out, "_id", "report_time", compact_every=2)
     flows.start_batches(stream, sink, work_path(spark, "state"), trigger=flows.DRAIN).awaitTermination()
     return flows.read_upserted(spark, out, "_id", "report_time", rows.schema)
+
+
+# --- polls, deliveries and bookmarks ----------------------------------------------------------------------------
+
+
+def _address(path: str) -> str:
+    """A path of the shared folder as readers outside of Spark need it."""
+    return path if "://" in path else Path(path.removeprefix("file:")).absolute().as_uri()
+
+
+@query
+def polled_events(spark, sf_dir):
+    """Every location is polled once at each tick, an hour of the day; one location always fails and stops no other."""
+    root, out = work_path(spark, "served"), work_path(spark, "polled")
+    served = feeds.events(spark, sf_dir).select(
+        F.col("city").alias("location"), (F.hour("ts") + 1).alias("tick"), F.to_json(F.struct("event_id", "value")).alias("text")
+    )
+    served.repartition("location", "tick").write.partitionBy("location", "tick").text(root)
+    spark.dataSource.register(PolledFeed)
+    options = {
+        "fetch": "workload.served:fetch", "arguments": json.dumps({"root": _address(root)}), "interval": "15", "history": "true",
+        "locations": json.dumps(["Hanoi", "Nowhere", "Ap Ba", "Ho Chi Minh City"]), "first_tick": "1", "last_tick": "24",
+    }
+    stream = spark.readStream.format("polled_feed").options(**options).load()
+    flows.start_files(stream, out, work_path(spark, "state")).awaitTermination()
+    polls = spark.read.schema(stream.schema).parquet(out)
+    records = F.when(F.col("error").isNotNull(), F.array(F.lit("{}"))).otherwise(F.filter(F.split("value", "\n"), lambda x: x != ""))
+    rows = polls.select("location", "tick", "error", F.explode(records).alias("record"))
+    rows = rows.withColumn("r", F.from_json("record", "event_id bigint, value double"))
+    return rows.select("location", "tick", "r.event_id", "r.value", "error")
+
+
+def _append(path: str):
+    return lambda rows, batch_id: rows.write.mode("append").parquet(path)
+
+
+@query
+def stream_fan_out(spark, sf_dir):
+    """Three batches to two sinks and the rules. The second sink fails once, after the first took the batch, and the stream is started again.
+
+    Both sinks append, so a batch that went to a sink twice would show.
+    """
+    landed, out, state = (work_path(spark, n) for n in ("landed", "fanned", "state"))
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "user_id")
+    for part in range(3):
+        rows.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    broken = [True]
+
+    def fragile(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1 and broken:
+            broken.clear()
+            raise OSError("the sink is away")
+        _append(f"{out}/documents")(batch, batch_id)
+
+    sink = fan_out_sink({"files": _append(f"{out}/files"), "documents": fragile}, out, [("RowCount", ">", 0), (("Completeness", "value"), ">=", 0.5)])
+    for _ in range(2):
+        running = flows.start_batches(stream, sink, state, trigger=flows.DRAIN)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            continue
+    passed = read_outcomes(spark, out).where("outcome = 'Passed'").select(F.col("rule").alias("name"), F.lit(1).cast("bigint").alias("event_id"), F.lit(None).cast("double").alias("value"))
+    read = [spark.read.parquet(f"{out}/{n}").select(F.lit(n).alias("name"), "event_id", "value") for n in ("files", "documents")]
+    every = read[0].unionByName(read[1]).unionByName(passed)
+    return every.groupBy("name").agg(F.count("*").alias("rows"), F.countDistinct("event_id").alias("different"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query
+def stream_dedupe_moving(spark, sf_dir):
+    """Every event is delivered again later with another time and value; its first delivery stays."""
+    landed, out, state = (work_path(spark, n) for n in ("landed", "deduped", "state"))
+    rows = feeds.events(spark, sf_dir).select("event_id", "city", "value", "ts")
+    for moved in range(3):
+        again = rows.withColumn("ts", F.timestamp_add("MINUTE", F.lit(7 * moved), F.col("ts"))).withColumn("value", F.col("value") + moved)
+        again.write.mode("append").parquet(landed)
+        stream = flows.with_event_time(spark.readStream.schema(again.schema).parquet(landed), "ts").drop("ts")
+        first = flows.stream_dedupe_moving(stream, ["event_id"], "event_ts", HISTORY)
+        flows.start_files(first, out, state, state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.parquet(out).withColumn("event_ts", timeparts.clock_text(F.col("event_ts")))
+
+
+@query
+def partial_delivery(spark, sf_dir):
+    """Records that a receiver refuses are sent again alone and parked after three tries; what the receiver holds beside the report."""
+    folder = work_path(spark, "received")
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    report = deliver(rows, "workload.served:receive", work_path(spark, "report"), pause=0.0, arguments={"folder": _address(folder)})
+    held = spark.read.schema("event_id bigint").json(folder).groupBy("event_id").agg(F.count("*").alias("received"))
+    both = report.join(held, "event_id", "left")
+    return both.select("event_id", "status", "tries", "error", F.coalesce("received", F.lit(0)).alias("received"))
+
+
+@query
+def combine_increments(spark, sf_dir):
+    """The topics' clean tables arrive in three parts, a run of the combine job after each, and one run with nothing new."""
+    stored = dict(zip(bookmarks.TOPICS, feeds.stored(spark, sf_dir), strict=True))
+    paths, state = {t: work_path(spark, f"{t}_growing") for t in stored}, work_path(spark, "bookmarks")
+    for part in range(3):
+        for n, (topic, rows) in enumerate(stored.items()):
+            own = F.pmod(F.xxhash64(*[field(c) for c in rows.columns]), F.lit(3)) == (part + n) % 3
+            rows.where(own).write.mode("append").parquet(paths[topic])
+        bookmarks.combine_increment(spark, paths, state, bucket_minutes=60)
+    bookmarks.combine_increment(spark, paths, state, bucket_minutes=60)
+    found = bookmarks.read_combined(spark, state)
+    return align.align_topics(*stored.values(), bucket_minutes=60).limit(0) if found is None else found
