@@ -70,6 +70,27 @@ def meet(many: DataFrame, one: DataFrame, keys: list[str], rows: str, total: int
     return many.join(few, keys).unionByName(others.hint("merge").join(rest, keys))
 
 
+#: Rows of an Arrow batch of whole texts.
+BATCH_ROWS = 2000
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """The rows themselves; lowers the session's rows per Arrow batch to ``BATCH_ROWS``, as both ends of the way to Python hold whole batches."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def give_back() -> None:
+    """Returns freed memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A task's function that gives freed memory back to the system at its end.
 
@@ -81,11 +102,7 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return tidied
 

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from cityweave.llm.common import slices, small_side, stored, text_of, tidy
+from cityweave.llm.common import give_back, short_batches, slices, small_side, stored, text_of, tidy
 from cityweave.llm.components import components
 
 WORDS = 5
@@ -59,6 +59,8 @@ CLOSE = 0.7
 SETTLED = FAMILY + 1 - CLOSE
 #: Members, and shingles in all, of a block.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+#: Shingles from which on a block's memory is given back at once.
+LARGE = 1 << 18
 #: Rows of ids, 40 bytes each at most, that are broadcast.
 SMALL = 500_000
 #: Members of a block of a bucket.
@@ -154,7 +156,7 @@ def profiles(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "buckets", "marks"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = short_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, digest binary, buckets array<bigint>, marks binary")
 
 
@@ -243,6 +245,9 @@ def _similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> n
         seen[owner[cut], places[cut] - low] = 1
         both += seen[: len(left)] @ seen[len(left) :].T
     union = lengths[: len(left), None] + lengths[None, len(left) :] - both
+    if len(owner) > LARGE:
+        del places, owner, order, values, seen
+        give_back()
     return 100 * both >= percent * union
 
 

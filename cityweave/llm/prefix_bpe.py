@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityweave.llm.common import slices, text_of, tidy
+from cityweave.llm.common import short_batches, slices, text_of, tidy
 
 #: Fixed: Unicode's white space.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -39,7 +39,7 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 UNIT = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Units, pieces and pairs that a process remembers; it starts anew beyond.
-MOST_UNITS = 800_000
+MOST_UNITS = 500_000
 MOST_PIECES = 400_000
 MOST_PAIRS = 500_000
 
@@ -160,13 +160,15 @@ class PrefixEncoder:
         return out[::-1]
 
     def _unit(self, unit: str) -> bytes:
-        out = b""
-        for piece in PIECE.findall(unit):
+        out, pieces = b"", PIECE.findall(unit)
+        for piece in pieces:
             known = self.pieces.get(piece)
             if known is None:
-                if len(self.pieces) > MOST_PIECES:
-                    self.pieces.clear()
-                known = self.pieces[piece] = np.array(self.encode_piece(piece.encode()), dtype="<u4").tobytes()
+                known = np.array(self.encode_piece(piece.encode()), dtype="<u4").tobytes()
+                if len(pieces) > 1:  # a unit of a single piece is remembered as a unit
+                    if len(self.pieces) > MOST_PIECES:
+                        self.pieces.clear()
+                    self.pieces[piece] = known
             out += known
         self.units[unit] = out
         return out
@@ -194,7 +196,7 @@ def encoder(path: str) -> PrefixEncoder:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", text_of().alias("text"))
+    return short_batches(docs).select("doc_id", text_of().alias("text"))
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -202,7 +204,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for piece in slices(batches):
+        for piece in slices(batches, most=1 << 20):
             ids = pa.array([own.encode(t).astype(np.int32) for t in piece.column("text").to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), ids], ["doc_id", "ids"])
         own.forget()
@@ -230,7 +232,7 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for piece in slices(batches):
+        for piece in slices(batches, most=1 << 20):
             counts, ids, texts = [], [], []
             for text in piece.column("text").to_pylist():
                 numbers = own.encode(text)

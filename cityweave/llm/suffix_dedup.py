@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityweave.llm.common import meet, slices, stored, text_of, tidy
+from cityweave.llm.common import meet, short_batches, slices, stored, text_of, tidy
 
 #: Bytes of a window and of an anchor; an anchor fits a window at PLACES places.
 LEAST, GRAM = 400, 192
@@ -141,7 +141,7 @@ _OCCURRENCE = "doc bigint, mark bigint, begin bigint, windows int, lead int, anc
 def _key(docs: DataFrame) -> DataFrame:
     """``doc`` and ``mark`` tell rows apart whose ids repeat or are missing, unless their texts are the same as well."""
     doc = F.col("doc_id").cast("bigint")
-    texts = docs.select(doc.alias("id"), text_of().alias("text"))
+    texts = short_batches(docs).select(doc.alias("id"), text_of().alias("text"))
     return texts.withColumn("doc", F.coalesce("id", F.lit(0))).withColumn("mark", F.xxhash64("text", F.col("id").isNull()))
 
 

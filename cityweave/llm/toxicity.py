@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from cityweave.llm.common import id_text, slices, stored, text_of, tidy
+from cityweave.llm.common import id_text, short_batches, slices, stored, text_of, tidy
 
 #: Labelled rows that the fit reads, at most, of either label.
 MOST_LABELLED = 4000
@@ -95,7 +95,7 @@ def count_letters(docs: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["gram", "n"])
 
-    grams = docs.select(text_of().alias("text")).mapInArrow(tidy(run), "gram bigint, n bigint")
+    grams = short_batches(docs).select(text_of().alias("text")).mapInArrow(tidy(run), "gram bigint, n bigint")
     out = np.zeros(CLASSES**3)
     for row in grams.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # at most 28 ** 3 rows
         out[row.gram] = row.n
@@ -347,7 +347,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             columns = [*[piece.column(c) for c in names], pa.array(scores, pa.float64()), pa.array([int(s >= LIMIT) for s in scores], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, [*names, "score", "predicted"])
 
-    rows = docs.drop("score", "predicted")
+    rows = short_batches(docs).drop("score", "predicted")
     names = rows.columns
     return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
 
@@ -362,4 +362,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) ->
             yield pa.array([own.score(t.as_py() or "") for t in batch], pa.float64())
 
     chance = F.arrow_udf(DoubleType())(tidy(scored))
-    return docs.where(chance(F.col("text").cast("string")) < LIMIT)
+    return short_batches(docs).where(chance(F.col("text").cast("string")) < LIMIT)
