@@ -2,13 +2,14 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
-from cityweave.operators import clean, features, flatten, profile, quality, stats
+from cityweave.operators import clean, features, flatten, lines, profile, quality, stats
 from cityweave.plans import jobs
 from cityweave.schemas import ENVELOPE, INT, RAW, TEXT, struct
 from cityweave.sinks.files import fan_out, write_documents, write_json
@@ -197,6 +198,49 @@ def test_box_edges(spark):
     assert found == {(1, "a"), (1, "b"), (2, "b"), (4, "a")}
 
 
+BOXES = "city string, min_lon double, min_lat double, max_lon double, max_lat double"
+
+
+def test_lines_meet_boxes(spark):
+    boxes = spark.createDataFrame([("a", 0.0, 0.0, 2.0, 1.0), ("b", 2.0, 0.0, 3.0, 1.0), ("none", 5.0, 0.0, 4.0, 1.0)], BOXES)
+    texts = {
+        1: "[[-1, 0.5], [4, 0.5]]",  # through both, no position inside
+        2: "[[-1, -1], [0, 0]]",  # ends on a corner
+        3: "[[-1, 0.5], [1, 2.5]]",  # passes the corner by
+        4: "[2.0, 1.0]",  # a point on the corner of both
+        5: "[[[0.5, -9], [0.5, 9]], [[2.5, 0.25, 7], [2.5, 0.75, 7]]]",  # upright lines, with heights
+        6: "[[0.5, 0.5], [0.5]]", 7: "[[0.5, NaN], [0.5, 1]]", 8: "[[1e9, 0.5], [-1e9, 0.5]]", 9: "[]", 10: "", 11: None, 12: "x", 13: "[[[]]]",
+        14: "[[[0.5, 0.5]], [[null, 1]]]",  # the good one of two paths counts
+    }
+    lines_of = spark.createDataFrame(list(texts.items()), "id int, coordinates string").withColumn("_x.y", F.lit(1))
+    for cell in (0.3, 1.0, 50.0):
+        found = lines.lines_in_boxes(lines_of, boxes, cell=cell)
+        assert found.columns == ["id", "_x.y", "city", "segments", "inside"]
+        assert {(r["id"], r["city"]): (r["segments"], round(r["inside"], 9)) for r in found.collect()} == {
+            (1, "a"): (1, 2.0), (1, "b"): (1, 1.0), (2, "a"): (1, 0.0), (4, "a"): (1, 0.0), (4, "b"): (1, 0.0),
+            (5, "a"): (1, 1.0), (5, "b"): (1, 0.5), (14, "a"): (1, 0.0),
+        }, cell
+    assert lines.lines_in_boxes(lines_of.limit(0), boxes).count() == 0 == lines.lines_in_boxes(lines_of, boxes.limit(0)).count()
+
+
+def test_lines_meet_boxes_as_walked_in_small_steps(spark):
+    draw = random.Random(7)
+    boxes = [(f"b{i}", x, y, x + draw.uniform(0.5, 3), y + draw.uniform(0.5, 3)) for i in range(12) for x, y in [(draw.uniform(-5, 5), draw.uniform(-5, 5))]]
+    rows = [(i, [[draw.uniform(-6, 6), draw.uniform(-6, 6)] for _ in range(draw.randint(2, 4))]) for i in range(80)]
+    df = spark.createDataFrame([(i, str(path)) for i, path in rows], "id int, coordinates string")
+    found = {(r["id"], r["city"]): r["inside"] for r in lines.lines_in_boxes(df, spark.createDataFrame(boxes, BOXES), cell=0.7).collect()}
+    steps = 1000
+    for i, path in rows:
+        for city, x_min, y_min, x_max, y_max in boxes:
+            walked = 0.0
+            for (x0, y0), (x1, y1) in zip(path, path[1:], strict=False):
+                at = [(s + 0.5) / steps for s in range(steps)]
+                hits = sum(x_min <= x0 + (x1 - x0) * t <= x_max and y_min <= y0 + (y1 - y0) * t <= y_max for t in at)
+                walked += hits / steps * ((x1 - x0) ** 2 + (y1 - y0) ** 2) ** 0.5
+            assert abs(found.get((i, city), 0.0) - walked) < 0.05
+            assert walked == 0 or (i, city) in found
+
+
 def test_latest_per_key_breaks_ties_on_all_columns(spark):
     df = spark.createDataFrame([("k", "t1", 1, "z"), ("k", "t2", 1, "a"), ("k", "t2", 2, "a"), ("m", None, 1, "q")], "_id string, report_time string, x int, y string")
     assert {tuple(r) for r in clean.latest_per_key(df, "_id", "report_time").collect()} == {("k", "t2", 2, "a"), ("m", None, 1, "q")}

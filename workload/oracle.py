@@ -70,6 +70,12 @@ def _keyed(topic: str, minutes: int) -> str:
 )"""
 
 
+BOXES = """
+boxes(city, min_lon, min_lat, max_lon, max_lat) AS (VALUES
+  ('Ho Chi Minh City', 106.532129::DOUBLE, 10.66594::DOUBLE, 106.831575::DOUBLE, 10.883411::DOUBLE),
+  ('Hanoi', 105.2849::DOUBLE, 20.5645::DOUBLE, 106.0201::DOUBLE, 21.3853::DOUBLE),
+  ('Da Nang', 107.818782::DOUBLE, 15.917955::DOUBLE, 108.574858::DOUBLE, 16.344307::DOUBLE))"""
+
 FEEDS = f"WITH {EV},{TRAFFIC},{WEATHER},{AIR}"
 
 
@@ -241,17 +247,38 @@ FROM traffic, (VALUES ('batch'), ('stream')) m(mode)""",
     "dropna_any": f"""SELECT l_orderkey, l_linenumber, l_discount, l_tax, l_returnflag FROM {GAPPY} WHERE l_discount IS NOT NULL""",
     "dedupe_rows": "SELECT DISTINCT text, lang FROM documents",
     "category_filter": f"""{FEEDS} SELECT _id, city, "iconCategory" FROM traffic WHERE "iconCategory" IN (1, 2, 4, 6, 8, 9, 10, 11)""",
-    "bbox_assign": f"""{FEEDS},
-boxes(city, min_lon, min_lat, max_lon, max_lat) AS (VALUES
-  ('Ho Chi Minh City', 106.532129::DOUBLE, 10.66594::DOUBLE, 106.831575::DOUBLE, 10.883411::DOUBLE),
-  ('Hanoi', 105.2849::DOUBLE, 20.5645::DOUBLE, 106.0201::DOUBLE, 21.3853::DOUBLE),
-  ('Da Nang', 107.818782::DOUBLE, 15.917955::DOUBLE, 108.574858::DOUBLE, 16.344307::DOUBLE)),
+    "bbox_assign": f"""{FEEDS},{BOXES},
 points AS (
   SELECT _id, CASE WHEN CAST(_id AS BIGINT) % 7 = 0 THEN -10::DOUBLE WHEN city = 'Hanoi' THEN 105.65::DOUBLE
                    WHEN city = 'Ap Ba' THEN 108.2::DOUBLE ELSE 106.68::DOUBLE END AS lon,
          CASE city WHEN 'Hanoi' THEN 20.97::DOUBLE WHEN 'Ap Ba' THEN 16.13::DOUBLE ELSE 10.77::DOUBLE END AS lat
   FROM traffic)
 SELECT _id, lon, lat, city FROM points JOIN boxes ON lon BETWEEN min_lon AND max_lon AND lat BETWEEN min_lat AND max_lat""",
+    # Every segment against every box: the parts on which it is between the box's sides, axis by axis.
+    "lines_in_boxes": f"""WITH {EV},{BOXES},
+centres AS (
+  SELECT event_id, event_id % 6 AS kind, CASE city WHEN 'Hanoi' THEN 105.65::DOUBLE WHEN 'Ap Ba' THEN 108.2::DOUBLE ELSE 106.68::DOUBLE END AS x,
+         CASE city WHEN 'Hanoi' THEN 20.97::DOUBLE WHEN 'Ap Ba' THEN 16.13::DOUBLE ELSE 10.77::DOUBLE END AS y,
+         (k % 9 - 4) / 8.0::DOUBLE AS k9, (k % 17 - 8) / 8.0::DOUBLE AS k17,
+         (event_id % 5 - 2) / 8.0::DOUBLE AS n5, (event_id % 17 - 8) / 8.0::DOUBLE AS n17
+  FROM ev WHERE event_type = 'click'),
+parts AS (
+  SELECT event_id, x + k9 AS x0, y + n5 AS y0, x + k9 AS x1, y + n5 AS y1 FROM centres WHERE kind IN (0, 3)
+  UNION ALL SELECT event_id, x - 2, y + k17, x + 2, y + n17 FROM centres WHERE kind = 1
+  UNION ALL SELECT event_id, x + 2, y + n17, x + 2, y + 3 FROM centres WHERE kind = 1
+  UNION ALL SELECT event_id, x - 2, y - 2, x + 2, y + 2 FROM centres WHERE kind = 2
+  UNION ALL SELECT event_id, x + k9, y - 3, x + k9, y + 3 FROM centres WHERE kind = 2),
+shares AS (
+  SELECT event_id, city, sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2) AS length,
+         CASE WHEN x1 <> x0 THEN least((min_lon - x0) / (x1 - x0), (max_lon - x0) / (x1 - x0))
+              WHEN x0 BETWEEN min_lon AND max_lon THEN 0 ELSE 9 END AS in_x,
+         CASE WHEN x1 <> x0 THEN greatest((min_lon - x0) / (x1 - x0), (max_lon - x0) / (x1 - x0)) ELSE 1 END AS out_x,
+         CASE WHEN y1 <> y0 THEN least((min_lat - y0) / (y1 - y0), (max_lat - y0) / (y1 - y0))
+              WHEN y0 BETWEEN min_lat AND max_lat THEN 0 ELSE 9 END AS in_y,
+         CASE WHEN y1 <> y0 THEN greatest((min_lat - y0) / (y1 - y0), (max_lat - y0) / (y1 - y0)) ELSE 1 END AS out_y
+  FROM parts, boxes)
+SELECT event_id, city, count(*) AS segments, round(sum((least(1, out_x, out_y) - greatest(0, in_x, in_y)) * length), 6) AS inside
+FROM shares WHERE greatest(0, in_x, in_y) <= least(1, out_x, out_y) GROUP BY event_id, city""",
     "valid_records": """
 SELECT event_id, CASE WHEN json_valid(t) THEN CAST(json_extract_string(t, '$.k') AS DOUBLE) END AS k,
        CASE WHEN json_valid(t) THEN 'good' ELSE 'bad' END AS state

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
-from cityweave.operators import align, clean, cluster, features, flatten, models, profile, quality, quantiles, stats
+from cityweave.operators import align, clean, cluster, features, flatten, lines, models, profile, quality, quantiles, stats
 from cityweave.plans import bookmarks
 from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, TEXT, struct
 from cityweave.session import materialised, work_path
@@ -222,14 +222,42 @@ CITY_BOXES = [
 
 @query
 def bbox_assign(spark, sf_dir):
-    boxes = spark.createDataFrame(
-        CITY_BOXES, "city string, min_lon double, min_lat double, max_lon double, max_lat double"
-    )
+    boxes = _city_boxes(spark)
     raw = feeds.raw(spark, sf_dir, "traffic")
     points = raw.select("_id", flatten.first_vertex(F.col("geometry.coordinates")).alias("v")).select("_id", "v.lon", "v.lat")
     return clean.bbox_assign(points, boxes)
 
 
+def _city_boxes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CITY_BOXES, "city string, min_lon double, min_lat double, max_lon double, max_lat double")
+
+
+def _line_text() -> Column:
+    """Coordinates around each city: points, lines with their ends outside, several lines, upright ones, and texts that are none."""
+    n, k, pick = F.col("event_id"), F.col("k"), F.col("user_id") % 3
+    x, y = (F.get(F.array(*map(F.lit, c)), pick.cast("int")) for c in ((105.65, 108.2, 106.68), (20.97, 16.13, 10.77)))
+    eighth = lambda c, width: (c % width - width // 2) / F.lit(8.0)
+
+    def position(lon: Column, lat: Column) -> Column:
+        return F.concat(F.lit("["), lon.cast("string"), F.lit(", "), lat.cast("string"), F.lit("]"))
+
+    def several(*parts: Column) -> Column:
+        return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+
+    near = position(x + eighth(k, 9), y + eighth(n, 5))
+    across = several(position(x - 2, y + eighth(k, 17)), position(x + 2, y + eighth(n, 17)), position(x + 2, y + 3))
+    upright = several(position(x + eighth(k, 9), y - 3), position(x + eighth(k, 9), y + 3))
+    text = F.when(n % 6 == 0, near).when(n % 6 == 1, across).when(n % 6 == 2, several(several(position(x - 2, y - 2), position(x + 2, y + 2)), upright))
+    return text.when(n % 6 == 3, several(near)).when(n % 6 == 4, F.lit("[[106.0, null], [105.0, 21.0]]"))
+
+
+@query
+def lines_in_boxes(spark, sf_dir):
+    rows = feeds.events(spark, sf_dir).where("event_type = 'click'")
+    found = lines.lines_in_boxes(rows.select("event_id", _line_text().alias("coordinates")), _city_boxes(spark))
+    return rounded(found, "inside", places=6)
+
+
 @query
 def valid_records(spark, sf_dir):
     cut = F.when(F.col("event_id") % 10 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
