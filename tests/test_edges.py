@@ -9,7 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
-from cityweave.operators import clean, features, flatten, lines, profile, quality, stats
+from cityweave.operators import choices, clean, features, flatten, lines, profile, quality, stats
 from cityweave.plans import jobs
 from cityweave.schemas import ENVELOPE, INT, RAW, TEXT, struct
 from cityweave.sinks.files import fan_out, write_documents, write_json
@@ -168,6 +168,31 @@ def test_choice(spark):
     assert column(df.select(values.resolve_choice(F.col("c")).alias("c")), "c") == [1.5, 2.0, 1.5, None]
 
 
+def test_kinds_of_a_field(spark):
+    sent = {
+        "12.5": ("double", 12.5), "3": ("int", 3.0), "5.0": ("double", 5.0), '"7.25"': ("string", 7.25), '"far"': ("string", None), "null": ("null", None),
+        "1e3": ("double", 1000.0), "true": ("boolean", None), "[1]": ("array", None), '{"b": 1}': ("object", None), "99999999999999999999": ("double", 1e20),
+        '"NaN"': ("string", None), '"Infinity"': ("string", None), '""': ("string", None),
+    }
+    rows = [(t, '{"a b": {"it\'s": %s}}' % t) for t in sent] + [("absent", '{"a b": {}}'), ("cut", '{"a b":'), ("none", None), ("list", "[1, 2]")]
+    df = spark.createDataFrame(rows, "t string, text string").select("t", choices.open_record(F.col("text")).alias("record"))
+    value = choices.nested(F.col("record"), "a b", "it's")
+    found = {r["t"]: (r["kind"], r["number"]) for r in df.select("t", choices.kind(value).alias("kind"), choices.number_of(value).alias("number")).collect()}
+    assert found == sent | {t: ("missing", None) for t in ("absent", "cut", "none", "list")}
+    with pytest.raises(ValueError):
+        choices.place("'", "\"'")
+    kinds = choices.field_kinds(df)
+    told = {(".".join(r["path"]), r["kind"]): r["rows"] for r in kinds.collect()}
+    name = "a b.it's"
+    assert told == {
+        (name, "double"): 4, (name, "int"): 1, (name, "string"): 5, (name, "null"): 1, (name, "boolean"): 1, (name, "array"): 1,
+        (name + ".b", "int"): 1, ("a b", "object"): 1, ("", "array"): 1,
+    }
+    assert [tuple(r) for r in choices.choices(kinds).collect()] == [(["a b", "it's"], ["array", "boolean", "double", "int", "string"], 12)]
+    assert {(".".join(r["path"]), r["kind"]): r["rows"] for r in choices.field_kinds(df, depth=1).collect()} == {("a b", "object"): 15, ("", "array"): 1}
+    assert choices.field_kinds(df.limit(0)).count() == 0
+
+
 def test_gaps_and_repeats(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, NAN), (1, 1.0)], "a int, b double")
     assert sorted(column(clean.dropna_any(df), "a")) == [1, 1]

@@ -296,6 +296,17 @@ FROM (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(
         FROM orders""",
     "resolve_choice": f"""WITH {EV} SELECT event_id, CASE event_id % 4 WHEN 0 THEN value WHEN 1 THEN CAST(k AS DOUBLE)
         WHEN 2 THEN value END AS length FROM ev""",
+    "variant_choice": f"""WITH {EV} SELECT event_id,
+  CASE WHEN event_id % 10 = 9 THEN 'missing' ELSE ['double', 'int', 'string', 'string', 'null', 'missing'][event_id % 6 + 1] END AS kind,
+  CASE WHEN event_id % 10 = 9 THEN NULL WHEN event_id % 6 IN (0, 2) THEN value WHEN event_id % 6 = 1 THEN CAST(k AS DOUBLE) END AS length
+FROM ev""",
+    "variant_fields": """WITH sent AS (SELECT event_id % 6 AS kind FROM events WHERE event_id % 10 <> 9),
+kinds AS (
+  SELECT f.path, 'int' AS kind, count(*) AS rows FROM sent, (VALUES ('id'), ('properties.k')) f(path) GROUP BY f.path
+  UNION ALL SELECT 'properties.length', ['double', 'int', 'string', 'string', 'null'][kind + 1] AS name, count(*) FROM sent WHERE kind < 5 GROUP BY name)
+SELECT *, CASE path WHEN 'properties.length' THEN (
+  SELECT string_agg(kind, ',' ORDER BY kind) FROM kinds WHERE path = 'properties.length' AND kind <> 'null' HAVING count(*) > 1) END AS choice
+FROM kinds""",
     "map_labels": """SELECT vec_id, CASE label % 4 WHEN 0 THEN 'High' WHEN 1 THEN 'Moderate' WHEN 2 THEN 'Low' END AS level
         FROM embeddings""",
     "to_json_record": f"WITH {EV} SELECT event_id, city, value FROM ev",

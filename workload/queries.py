@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
-from cityweave.operators import align, clean, cluster, features, flatten, lines, models, profile, quality, quantiles, stats
+from cityweave.operators import align, choices, clean, cluster, features, flatten, lines, models, profile, quality, quantiles, stats
 from cityweave.plans import bookmarks
 from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, TEXT, struct
 from cityweave.session import materialised, work_path
@@ -332,6 +332,31 @@ def resolve_choice(spark, sf_dir):
     )
 
 
+def _unsettled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents whose ``length`` comes as double, integer, two kinds of text, null, or not at all; some records are cut off."""
+    kind, value = F.col("event_id") % 6, F.col("value").cast("string")
+    length = F.when(kind == 0, value).when(kind == 1, F.col("k").cast("string")).when(kind == 2, F.concat(F.lit('"'), value, F.lit('"')))
+    length = length.when(kind == 3, F.lit('"far"')).when(kind == 4, F.lit("null"))
+    inner = F.concat_ws(", ", F.concat(F.lit('"k": '), F.col("k")), F.concat(F.lit('"length": '), length))
+    text = F.concat(F.lit('{"id": '), F.col("event_id"), F.lit(', "properties": {'), inner, F.lit("}}"))
+    text = F.when(F.col("event_id") % 10 == 9, F.substring(text, 1, 12)).otherwise(text)
+    return feeds.events(spark, sf_dir).select("event_id", choices.open_record(text).alias("record"))
+
+
+@query
+def variant_choice(spark, sf_dir):
+    value = choices.nested(F.col("record"), "properties", "length")
+    return _unsettled(spark, sf_dir).select("event_id", choices.kind(value).alias("kind"), choices.number_of(value).alias("length"))
+
+
+@query
+def variant_fields(spark, sf_dir):
+    """Every field with the kinds in which it comes, and whether they make it a choice."""
+    kinds = materialised(choices.field_kinds(_unsettled(spark, sf_dir)), "field_kinds")
+    unsettled = choices.choices(kinds).select("path", F.concat_ws(",", "kinds").alias("choice"))
+    return kinds.join(unsettled, "path", "left").select(F.concat_ws(".", "path").alias("path"), "kind", "rows", "choice")
+
+
 @query
 def map_labels(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", values.map_labels(F.col("label") % 4).alias("level"))
