@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,35 +62,27 @@ def without_strings(text: Column) -> Column:
     return F.regexp_replace(plain, '"[^"]*"', "")
 
 
-def one_object(text: Column) -> Column:
-    """Whether a text is a single JSON object from its first sign to its last, by its brackets outside of strings."""
-    signs = F.split(F.regexp_replace(without_strings(text), r'[^{}\[\]"]', ""), "")
-
-    def step(state: Column, sign: Column) -> Column:
-        depth = state["depth"] + F.when(sign.isin("{", "["), 1).when(sign.isin("}", "]"), -1).otherwise(0)
-        ends = state["ends"] + F.when((depth <= 0) & (sign != ""), 1).otherwise(0)
-        return F.struct(depth.alias("depth"), ends.alias("ends"))
-
-    last = F.aggregate(signs, F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")), step)
-    closed = (last["depth"] == 0) & (last["ends"] == 1)
-    return F.regexp_like(text, F.lit(r"(?s)^\s*\{.*\}\s*$")) & closed & ~F.contains(without_strings(text), F.lit('"'))
-
-
 def parse_records(lines: DataFrame, schema: StructType, column: str = "value", bad: str = "_corrupt_record") -> DataFrame:
     """JSON text -> columns of ``schema``; ``bad`` holds the text of records that do not parse.
 
-    A text that holds more than one object, or anything beside one, is rejected as a whole: the parser
-    would stop after the first object. The record comes out of a generator, which later filters are not pushed through: a filter
-    on many columns would otherwise parse the text once per column.
+    A text that holds more than one object, or anything beside one, is rejected as a whole. The parser stops after
+    the first value, so it is given the text twice: as the only field of an object, where it fails at anything but the object's end, a
+    comma apart, and as the only element of an array, which must have that one element and fails at anything but a comma or the
+    array's end. No rest of a text passes both. The record comes out of a generator, which later filters are not
+    pushed through: a filter on many columns would otherwise parse the text once per column.
     """
-    wide = StructType(list(schema.fields)).add(bad, "string")
+    record = f"{bad}_"
+    wide = StructType().add(record, schema).add(bad, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
     rest = [c for c in lines.columns if c != column]
-    record = F.from_json(field(column), wide, options)
-    parsed = lines.select(*map(field, rest), field(column).alias("_text"), F.inline(F.array(record)))
-    rejected = ~F.coalesce(one_object(F.col("_text")), F.lit(False))
-    return parsed.withColumn(bad, F.when(rejected, F.coalesce("_text", F.lit(""))).otherwise(field(bad))).select(
-        *[field(c) for c in (*rest, *schema.names, bad)]
+    text = field(column)
+    as_field = F.from_json(F.concat(F.lit(json.dumps({record: 0})[:-2]), text, F.lit("}")), wide, options)
+    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<_:string>>")
+    single = F.regexp_like(text, F.lit(r"^\s*\{")) & (F.size(elements) == 1)
+    parsed = lines.select(*map(field, rest), text.alias("_text"), F.coalesce(single, F.lit(False)).alias("_single"), F.inline(F.array(as_field)))
+    rejected = ~F.col("_single") | field(bad).isNotNull()
+    return parsed.select(
+        *map(field, rest), *[field(record)[name].alias(name) for name in schema.names], F.when(rejected, F.coalesce("_text", F.lit(""))).alias(bad)
     )
 
 

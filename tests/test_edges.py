@@ -163,6 +163,27 @@ def test_city_names(spark):
     assert column(values.normalise_city(df), "city") == ["ha noi", "hanoi old quarter", "hanoi", "da nang", None]
 
 
+def test_single_objects_among_random_texts(spark):
+    draw = random.Random(3)
+    signs = ['{"a":1}', '{"a":2,"b":[{"c":"}"}]}', "{", "}", "[", "]", ",", " ", '"', '"b":1', "1", '\\', ":", "null", "{}", "\n"]
+    texts = {"".join(draw.choice(signs) for _ in range(draw.randint(1, 6))) for _ in range(4000)}
+    texts |= {f'{{"a":1}}{rest}' for rest in ("", " ", "]", "]{}", '],"a":{"b":2}', ',"x":2', "}", "} ", ',{"a":2}', "x", ']}', "}]", '],[{"a":1}', " null")}
+    lines = spark.createDataFrame([(t,) for t in sorted(texts)], "value string").withColumn("text", F.col("value"))
+
+    def single(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    for bad in ("_corrupt_record", "bad\"'s `column`"):
+        rows = clean.parse_records(lines, struct(a=INT), bad=bad).collect()
+        assert len(rows) == len(texts)
+        # A string whose quotes or escapes are broken may still be one of the parser's own notations; none is among these.
+        wrong = [(r["text"], r[bad]) for r in rows if (r[bad] is None) != single(r["text"]) or r[bad] not in (None, r["text"])]
+        assert not wrong, wrong[:10]
+
+
 def test_choice(spark):
     df = spark.createDataFrame([((1.5, None),), ((None, 2),), ((1.5, 2),), ((None, None),)], "c struct<double:double,int:int>")
     assert column(df.select(values.resolve_choice(F.col("c")).alias("c")), "c") == [1.5, 2.0, 1.5, None]
