@@ -53,14 +53,15 @@ class _Fence:
         return [(rank - self.below) / max(self.inside - 1, 1) for rank in self.wanted]
 
 
-def _cuts(df: DataFrame, open_fences: list[_Fence]) -> list[list[float]]:
-    """For each fence, values close to and around each rank sought."""
+def _cuts(df: DataFrame, open_fences: list[_Fence]) -> list[tuple[int, list[float]]]:
+    """For each fence, its rows, and values close to and around each rank sought."""
     margin = 2.0 / ACCURACY
-    guesses = []
+    guesses = [F.count(fence.value(df)).alias(f"n{i}") for i, fence in enumerate(open_fences)]
     for i, fence in enumerate(open_fences):
         ends = sorted({min(1.0, max(0.0, s + m)) for s in fence.shares() for m in (-margin, margin)})
         guesses.append(F.percentile_approx(fence.value(df), ends, ACCURACY).alias(f"g{i}"))
-    return [sorted(set(found or [])) for found in df.agg(*guesses).first()]
+    row = df.agg(*guesses).first()
+    return [(row[i], sorted(set(row[len(open_fences) + i] or []))) for i in range(len(open_fences))]
 
 
 def _counts(df: DataFrame, open_fences: list[_Fence], cuts: list[list[float]]) -> list[dict[int, int]]:
@@ -141,15 +142,21 @@ def exact_quantiles(
     todo = [_Fence(c, probs) for c in columns]
     narrow: list[_Fence] = []
     while todo:
-        cuts = _cuts(df, todo)
-        ahead = []
-        for fence, at, counted in zip(todo, cuts, _counts(df, todo, cuts)):
+        cuts = []
+        for fence, (rows, at) in zip(todo, _cuts(df, todo), strict=True):
             if fence.inside is None:
-                sizes[fence.column] = rows = sum(counted.values())
-                fence.inside = rows
+                sizes[fence.column] = fence.inside = rows
                 places = [(rows - 1) * p for p in probs if rows]
                 fence.wanted = sorted({r for x in places for r in (math.floor(x), math.ceil(x))})
-            ahead += _settle(fence, at, counted, found)
+            cuts.append(at)
+        # A whole column may be few rows already.
+        narrow += [f for f in todo if f.wanted and f.inside <= exact_rows]
+        wide = [(f, at) for f, at in zip(todo, cuts, strict=True) if f.wanted and f.inside > exact_rows]
+        ahead = []
+        if wide:
+            todo, cuts = map(list, zip(*wide, strict=True))
+            for fence, at, counted in zip(todo, cuts, _counts(df, todo, cuts), strict=True):
+                ahead += _settle(fence, at, counted, found)
         narrow += [f for f in ahead if f.inside <= exact_rows]
         todo = [f for f in ahead if f.inside > exact_rows]
     if narrow:
