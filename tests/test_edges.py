@@ -1,5 +1,6 @@
 """The edge cases of FIXTURES.md on hand-made rows."""
 
+import bisect
 import json
 import math
 import random
@@ -9,7 +10,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
-from cityweave.operators import choices, clean, features, flatten, lines, profile, quality, stats
+from cityweave.operators import choices, clean, features, flatten, kept, lines, profile, quality, stats
 from cityweave.plans import jobs
 from cityweave.schemas import ENVELOPE, INT, RAW, TEXT, struct
 from cityweave.sinks.files import fan_out, write_documents, write_json
@@ -214,6 +215,34 @@ def test_kinds_of_a_field(spark):
     assert choices.field_kinds(df.limit(0)).count() == 0
 
 
+def test_profiles_kept_day_by_day(spark):
+    rows = spark.range(60_000).select(
+        (F.col("id") % 30).alias("day"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("topic"),
+        F.when(F.col("id") % 5 > 0, F.hash("id") % 1000).cast("double").alias("x"), F.lit(None).cast("int").alias("gone"),
+        F.when(F.col("id") % 3 == 0, NAN).otherwise(0.0).alias("`z.z"),
+    )
+    for k in (200, 4096):
+        daily = kept.profiles(rows, ["topic", "day"], ["x", "gone", "`z.z"], k=k)
+        assert daily.count() == 90  # a day has one topic here
+        found = {(r["topic"], r["column"]): r for r in kept.kept_quantiles(kept.merged(daily, ["topic"]), (0.0, 0.1, 0.5, 0.99, 1.0)).collect()}
+        for topic in ("a", "b"):
+            gone, zeros, x = (found[topic, c] for c in ("gone", "`z.z", "x"))
+            assert (gone["rows"], gone["missing"], gone["low"], gone["quantiles"]) == (30_000, 30_000, None, None)
+            assert (zeros["missing"], zeros["zeros"], zeros["quantiles"]) == (10_000, 20_000, [0.0] * 5)
+            values = sorted(r["x"] for r in rows.where(F.col("topic") == topic).select("x").na.drop().collect())
+            assert (x["rows"], x["missing"], x["low"], x["high"]) == (30_000, 30_000 - len(values), values[0], values[-1])
+            assert (x["quantiles"][0], x["quantiles"][-1]) == (values[0], values[-1])
+            for p, at in zip((0.1, 0.5, 0.99), x["quantiles"][1:4], strict=True):
+                room = 3 * kept.rank_error(k) * len(values)
+                assert bisect.bisect_left(values, at) - room <= p * len(values) <= bisect.bisect_right(values, at) + room
+    whole = {r["column"]: r["rows"] for r in kept.merged(kept.merged(daily, ["topic"])).collect()}
+    assert whole == {"x": 60_000, "gone": 60_000, "`z.z": 60_000}
+    assert kept.merged(kept.profiles(rows.limit(0), ["topic"]), ["topic"]).count() == 0
+    assert {r["column"] for r in kept.profiles(rows.limit(5), ["topic"]).select("column").collect()} == {"day", "x", "gone", "`z.z"}
+    with pytest.raises(ValueError):
+        kept.kept_quantiles(daily, [1.5])
+
+
 def test_gaps_and_repeats(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, NAN), (1, 1.0)], "a int, b double")
     assert sorted(column(clean.dropna_any(df), "a")) == [1, 1]

@@ -331,6 +331,13 @@ SELECT city, count(*) AS topics FROM named GROUP BY city HAVING count(*) < 3""",
     ),
     "profile_zeros": _per_column(LINEITEM, _zeros),
     "profile_outliers": _per_column(["l_quantity", "l_extendedprice", "l_discount", "l_tax", "unit_price_sq"], _outliers),
+    "kept_profiles": f"""WITH {EV},
+cells AS (
+  SELECT event_type AS topic, 'value' AS "column", CASE WHEN event_id % 11 > 0 THEN value END AS x FROM ev
+  UNION ALL SELECT event_type, 'k', CAST(k AS DOUBLE) FROM ev)
+SELECT topic, "column", count(*) AS rows, count(*) - count(x) AS missing, count(*) FILTER (x = 0) AS zeros, min(x) AS low, max(x) AS high,
+       true AS q1_close, true AS median_close, true AS q3_close
+FROM cells GROUP BY topic, "column" """,
     "iqr_outliers": f"""SELECT l_orderkey, l_linenumber, l_partkey, round(weight, 2) AS weight FROM {WEIGHTED},
         (SELECT quantile_cont(weight, 0.25) AS q1, quantile_cont(weight, 0.75) AS q3 FROM {WEIGHTED})
         WHERE weight < q1 - 1.5 * (q3 - q1) OR weight > q3 + 1.5 * (q3 - q1)""",

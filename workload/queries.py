@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
-from cityweave.operators import align, choices, clean, cluster, features, flatten, lines, models, profile, quality, quantiles, stats
+from cityweave.operators import align, choices, clean, cluster, features, flatten, kept, lines, models, profile, quality, quantiles, stats
 from cityweave.plans import bookmarks
 from cityweave.schemas import INT, LONG, PARTITION_LEVELS, REAL, TEXT, struct
 from cityweave.session import materialised, work_path
@@ -458,6 +458,32 @@ def profile_outliers(spark, sf_dir):
     return profile.profile_outliers(rows, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "unit_price_sq"])
 
 
+@query
+def kept_profiles(spark, sf_dir):
+    """Profiles stored per topic and day in two arrivals, merged per topic, and whether each quartile's exact rank is within twice the stated error."""
+    path, probs = work_path(spark, "profiles"), (0.25, 0.5, 0.75)
+    value = F.when(F.col("event_id") % 11 > 0, F.col("value"))
+    rows = feeds.events(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"), F.to_date("ts").alias("day"), value.alias("value"), "k")
+    for arrival in (0, 1):
+        daily = kept.profiles(rows.where(F.col("event_id") % 2 == arrival), ["topic", "day"], ["value", "k"])
+        daily.write.mode("append").parquet(path)
+    found = kept.kept_quantiles(kept.merged(spark.read.schema(daily.schema).parquet(path), ["topic"]), probs)
+    found = materialised(found.drop("sketch"), "profiles_merged")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), field(c).cast("double").alias("x")) for c in ("value", "k")])
+    met = rows.select("topic", F.inline(cells)).join(found.select("topic", "column", "quantiles"), ["topic", "column"])
+    places = [F.get("quantiles", F.lit(i)) for i in range(len(probs))]
+    ranks = met.groupBy("topic", "column").agg(
+        *[F.count_if(F.col("x") < at).alias(f"below_{i}") for i, at in enumerate(places)],
+        *[F.count_if(F.col("x") <= at).alias(f"upto_{i}") for i, at in enumerate(places)],
+    )
+    room, present = 2 * kept.rank_error(), F.col("rows") - F.col("missing")
+    close = [
+        (F.col(f"below_{i}") <= (p + room) * present) & (F.col(f"upto_{i}") >= (p - room) * present) for i, p in enumerate(probs)
+    ]
+    named = [c.alias(n) for c, n in zip(close, ("q1_close", "median_close", "q3_close"), strict=True)]
+    return found.join(ranks, ["topic", "column"]).select("topic", "column", "rows", "missing", "zeros", "low", "high", *named)
+
+
 @query
 def iqr_outliers(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
