@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from cityweave.functions.columns import field
@@ -21,6 +21,7 @@ FLUSH_SECONDS = 300
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 _starting = threading.Lock()
 
 Trigger = Mapping[str, object]
@@ -45,11 +46,14 @@ def start_files(
     writer = stream.writeStream.format(format).option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer = writer.outputMode("append").trigger(**trigger)
+    return _start(stream.sparkSession, writer.outputMode("append").trigger(**trigger), state_partitions)
+
+
+def _start(spark: SparkSession, writer: DataStreamWriter, state_partitions: int | None, **more: str) -> StreamingQuery:
     if state_partitions is None:
         return writer.start()
-    conf = stream.sparkSession.conf
-    wanted = {"spark.sql.shuffle.partitions": str(state_partitions), _STORE: _ROCKS}
+    conf = spark.conf
+    wanted = {"spark.sql.shuffle.partitions": str(state_partitions), _STORE: _ROCKS, **more}
     with _starting:  # one at a time, as the settings are the session's
         before = {key: conf.get(key) for key in wanted}
         for key, value in wanted.items():
@@ -61,6 +65,18 @@ def start_files(
                 conf.set(key, value)
 
 
+def start_upserts(
+    changes: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, state_partitions: int, trigger: Trigger = DRAIN
+) -> StreamingQuery:
+    """Hand each batch of a stream of changes to ``sink``; its state lies on disk, in ``state_partitions`` parts.
+
+    Batches without data are off: a state that forgets by processing time asks for one after the other, and ``DRAIN`` would never end.
+    What is due to be forgotten goes with the next batch that has data.
+    """
+    writer = changes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("update").trigger(**trigger)
+    return _start(changes.sparkSession, writer, state_partitions, **{_NO_DATA: "false"})
+
+
 def start_batches(
     stream: DataFrame,
     sink: Callable[[DataFrame, int], None],

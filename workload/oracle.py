@@ -452,3 +452,18 @@ SELECT event_id, CASE WHEN event_id % 91 = 0 THEN 'parked' ELSE 'delivered' END
 FROM events""",
     "combine_increments": aligned(60),
 }
+
+ORACLE |= {
+    "stream_latest_live": """
+WITH rows AS (SELECT user_id AS _id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS report_time, event_id, value FROM events),
+upto AS (
+  SELECT k::BIGINT AS batch, r.*, row_number() OVER (PARTITION BY k, _id ORDER BY report_time DESC, event_id DESC) AS place
+  FROM rows r, (SELECT unnest(generate_series(0, 3)) AS k) WHERE event_id % 4 <= k)
+SELECT _id, report_time, event_id, value, batch FROM upto WHERE place = 1 AND event_id % 4 = batch
+UNION ALL SELECT _id, report_time, event_id, value, -1 FROM upto WHERE place = 1 AND batch = 3""",
+    "stream_rules": """
+WITH m AS (SELECT event_id % 4 AS batch, count(*) AS n, count(value) FILTER (WHERE event_id % 12 > 2) AS present FROM events GROUP BY ALL)
+SELECT batch::BIGINT AS batch, 'ColumnCount > 3' AS rule, 'Failed' AS outcome, 3.0::DOUBLE AS actual FROM m
+UNION ALL SELECT batch, 'RowCount > 0', 'Passed', n::DOUBLE FROM m
+UNION ALL SELECT batch, 'Completeness `value` >= 0.7', CASE WHEN present / n >= 0.7 THEN 'Passed' ELSE 'Failed' END, round(present / n, 4)::DOUBLE FROM m""",
+}

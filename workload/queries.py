@@ -11,6 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cityweave.functions import timeparts, values
 from cityweave.functions.columns import field
@@ -24,12 +25,13 @@ from cityweave.sinks.ledger import fan_out_sink, read_outcomes
 from cityweave.sources.concat_json import read_concat_json
 from cityweave.sources.polled import PolledFeed
 from cityweave.sources.topics import read_collection, read_stream, read_topic
-from cityweave.streaming import flows
+from cityweave.streaming import flows, live
 from workload import feeds
 from workload.feeds import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+DAY_MS = 86_400_000
 
 
 def query(fn: Query) -> Query:
@@ -1042,3 +1044,52 @@ def combine_increments(spark, sf_dir):
     bookmarks.combine_increment(spark, paths, state, bucket_minutes=60)
     found = bookmarks.read_combined(spark, state)
     return align.align_topics(*stored.values(), bucket_minutes=60).limit(0) if found is None else found
+
+
+# --- live state, rules on a stream --------------------------------------------------------------------------------
+
+
+def _arriving(spark, rows: DataFrame, parts: int = 4) -> tuple[DataFrame, str]:
+    """A stream of the events in as many batches as ``parts``: those with the id's remainder 0 first."""
+    path = work_path(spark, "landed")
+    for part in range(parts):
+        rows.where(F.col("event_id") % parts == part).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), path
+
+
+@query
+def stream_latest_live(spark, sf_dir):
+    """The latest row per key as live state: what changed in each of four batches, and the keyed table that the changes were merged into."""
+    rows = feeds.events(spark, sf_dir).select(
+        F.col("user_id").alias("_id"), timeparts.clock_text(F.col("ts")).alias("report_time"), "event_id", "value"
+    )
+    stream, _ = _arriving(spark, rows)
+    changes = live.live_latest(stream, "_id", "report_time", ["event_id"], ttl_ms=DAY_MS)
+    seen, table_path = work_path(spark, "changes"), work_path(spark, "latest")
+    upsert = flows.upsert_sink(table_path, "_id", "report_time", compact_every=2)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        kept = materialised(batch, "changed")
+        kept.write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+        upsert(kept, batch_id)
+
+    flows.start_upserts(changes, sink, work_path(spark, "state"), spark.sparkContext.defaultParallelism).awaitTermination()
+    changed = spark.read.schema(StructType([*rows.schema.fields, StructField("batch", LongType())])).parquet(seen)
+    last = flows.read_upserted(spark, table_path, "_id", "report_time", rows.schema).withColumn("batch", F.lit(-1).cast("bigint"))
+    return changed.unionByName(last)
+
+
+@query
+def stream_rules(spark, sf_dir):
+    """The rules' outcomes of each of four batches, gathered by a listener while the stream is written."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value").withColumn("value", F.when(F.col("event_id") % 12 > 2, F.col("value")))
+    stream, _ = _arriving(spark, rows)
+    log = live.RuleLog(spark, work_path(spark, "rules"), [("ColumnCount", ">", 3), ("RowCount", ">", 0), (("Completeness", "value"), ">=", 0.7)])
+    spark.streams.addListener(log)
+    try:
+        running = flows.start_files(log.watched(stream), work_path(spark, "watched"), work_path(spark, "state"))
+        running.awaitTermination()
+        log.wait(running.runId)
+    finally:
+        spark.streams.removeListener(log)
+    return rounded(live.read_rules(spark, log.path), "actual")
