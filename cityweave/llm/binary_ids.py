@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityweave.llm.common import slices, stored, text_of
+from cityweave.llm.common import short_batches, slices, stored, text_of, tidy
 from cityweave.llm.prefix_bpe import byte_signs
 
 END_ID = 1
@@ -251,8 +251,8 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), sizes, squeezed, pa.nulls(len(ids), schema.field("used").type)], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(([None], [None], [None], [used]), schema, strict=True)], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, used array<bigint>")
+    rows = short_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    return rows.mapInArrow(tidy(run), "doc_id bigint, n_tokens bigint, ids binary, used array<bigint>")
 
 
 def frequencies(encoded: DataFrame) -> DataFrame:
@@ -309,7 +309,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block: int = BL
 
     documents = encoded.where("used IS NULL").drop("used")
     ordered = documents.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), "ids")
-    blocks = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, schema)
+    blocks = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(tidy(run), schema)
     return stored(blocks, "token-blocks"), ranked
 
 
@@ -332,7 +332,7 @@ def _read(blocks: DataFrame, ranked: list[int], finish: Callable[[np.ndarray], o
                 columns = [pa.array(doc_ids, pa.int64()), pa.array(start + ends - counts, pa.int64()), pa.array(counts, pa.int64()), pa.array(made, arrow)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", name])
 
-    return placed.mapInArrow(run, f"doc_id bigint, start bigint, n_tokens bigint, {name} {kind}")
+    return placed.mapInArrow(tidy(run), f"doc_id bigint, start bigint, n_tokens bigint, {name} {kind}")
 
 
 def read(blocks: DataFrame, ranked: list[int]) -> DataFrame:
