@@ -178,6 +178,10 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((left == right).mean(axis=1))
 
 
+# A filter on its result would else be pushed below it and work it out once more, in a second Python process per core.
+_agreement = _agreement.asNondeterministic()
+
+
 def _met(block: pa.Table) -> pa.Table:
     """Edges that connect what is close among the rest of a block, and between it and the others."""
     ids, family = block.column("id").to_numpy(), block.column("family").to_numpy()

@@ -39,9 +39,9 @@ WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 UNIT = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: Units, pieces and pairs that a process remembers; it starts anew beyond.
-MOST_UNITS = 500_000
-MOST_PIECES = 400_000
-MOST_PAIRS = 500_000
+MOST_UNITS = 200_000
+MOST_PIECES = 100_000
+MOST_PAIRS = 200_000
 
 
 def byte_signs() -> dict[str, int]:
@@ -99,11 +99,6 @@ class PrefixEncoder:
         self.spelled = Pool(self.bytes_of)
         self.decimal = Pool([b"%d," % n for n in range(size)])
 
-    def forget(self) -> None:
-        """Drops what was remembered of texts, so that an idle process holds the vocabulary only."""
-        for known in (self.units, self.pieces, self.pairs):
-            known.clear()
-
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two tokens stay apart when the bytes of both are encoded together."""
         known = self.pairs.get((left, right))
@@ -192,6 +187,7 @@ class PrefixEncoder:
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> PrefixEncoder:
+    """The process's encoder; a task drops it at its end, as the process may wait for long and building it takes a third of a second."""
     return PrefixEncoder(path)
 
 
@@ -207,7 +203,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
         for piece in slices(batches, most=1 << 20):
             ids = pa.array([own.encode(t).astype(np.int32) for t in piece.column("text").to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), ids], ["doc_id", "ids"])
-        own.forget()
+        encoder.cache_clear()
 
     rows = _rows(docs)
     return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -221,6 +217,7 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             texts = [own.decode(np.asarray(x or [], dtype=np.int64)) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+        encoder.cache_clear()
 
     rows = encoded.select("doc_id", "ids")
     return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
@@ -241,7 +238,7 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
                 texts.append(sha256(own.decode(numbers).encode()))
             columns = [piece.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        own.forget()
+        encoder.cache_clear()
 
     rows = _rows(docs)
     return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import CLASHING, documents, near_groups, rows, words
 from hypothesis import given, settings
@@ -291,3 +292,27 @@ def test_components_of_chains_and_stars(spark):
 
 def test_tokenizer_files_are_where_the_queries_look():
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
+
+
+def test_near_candidates_take_one_python_process_per_task(spark):
+    """A filter on the agreement, as in ``families``, doesn't work it out a second time."""
+    both = spark.createDataFrame([(bytes(near_dedup.BINS), bytes(near_dedup.BINS))], "marks_a binary, marks_b binary")
+    near = both.select(near_dedup._agreement("marks_a", "marks_b").alias("agreement")).where(F.col("agreement") >= near_dedup.FAMILY)
+    assert near._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert near.collect()[0].agreement == 1.0
+
+
+def test_idle_processes_hold_no_encoder(spark):
+    """What a task leaves in a Python process, which later stages' tasks find again."""
+
+    def held(batches):
+        from cityweave.llm import prefix_bpe
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([prefix_bpe.encoder.cache_info().currsize] * batch.num_rows, pa.int32())], ["held"])
+
+    docs = spark.createDataFrame([(n, "an idle process") for n in range(8)], "doc_id bigint, text string").repartition(4)
+    encoded = prefix_bpe.encode(docs, BYTE_BPE).localCheckpoint()
+    prefix_bpe.decode(encoded, BYTE_BPE).collect()
+    assert len(prefix_bpe.round_trip(docs, BYTE_BPE).collect()) == 8
+    assert {r.held for r in spark.range(0, 64, 1, 8).mapInArrow(held, "held int").collect()} == {0}
