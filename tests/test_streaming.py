@@ -149,3 +149,33 @@ def test_compaction_keeps_a_row_per_key(spark, tmp_path):
     rows = flows.read_upserted(spark, path, "_id", "report_time").collect()
     assert {(r["_id"], r["v"]) for r in rows} == {("a", 4), *((f"b{n}", n) for n in range(5))}
     assert spark.read.parquet(f"{path}/compacted/upto=3").count() == 5
+
+
+def test_combinations_with_traffic_are_not_kept_as_state(spark, tmp_path):
+    sizes, streams = {"t": 40, "w": 3, "a": 2}, []
+    for name, rows in sizes.items():
+        df = spark.range(rows).selectExpr("'Hanoi' AS city", "timestamp'2025-01-01 10:05:00' AS event_ts", f"id AS {name}")
+        df.write.parquet(str(tmp_path / name))
+        streams.append(spark.readStream.schema(df.schema).parquet(str(tmp_path / name)))
+    joined = flows.stream_align(*streams, bucket_minutes=60, delay="10 days")
+    assert [c for c in joined.columns if c in sizes] == ["t", "w", "a"]
+    started = flows.start_files(joined, str(tmp_path / "out"), str(tmp_path / "state"), state_partitions=2)
+    started.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.select("t", "w", "a").distinct().count() == found.count() == 40 * 3 * 2
+    operators = [o for p in started.recentProgress for o in p.stateOperators if o.operatorName == "symmetricHashJoin"]
+    assert max(o.numRowsTotal for o in operators) == 40 + 3 * 2
+
+
+def test_records_delivered_again_are_made_once(spark, tmp_path, monkeypatch):
+    from workload import queries
+
+    made = []
+    lines = spark.createDataFrame([('{"_id": "1"}',), ('{"_id": "1"}',), ('{"_id": "2"}',)], "value string")
+    monkeypatch.setattr(queries.feeds, "feed", lambda *_: made.append(1) or lines)
+    monkeypatch.setattr(queries, "work_path", lambda spark, name: str(tmp_path / name))
+    for copies in (1, 2):
+        queries._event_stream(spark, "", ("air", "weather")[copies - 1], copies)
+    landed = [sorted(r.value for r in spark.read.text(str(tmp_path / f"{t}_landed")).collect()) for t in ("air", "weather")]
+    assert landed[0] == sorted(r.value for r in lines.collect()) and landed[1] == sorted(landed[0] * 2)
+    assert len(made) == 2
