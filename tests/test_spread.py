@@ -1,11 +1,13 @@
 """Work that few files, wide texts and rows that multiply must not leave to few tasks."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from cityweave import session
 from cityweave.operators import align, clean, cluster
 from cityweave.plans import jobs
 from workload import feeds
@@ -99,3 +101,14 @@ def test_encoding_takes_short_batches(spark):
     spark.conf.set(key, "10000")
     binary_ids.encode(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), WORD_BPE)
     assert int(spark.conf.get(key)) == BATCH_ROWS
+
+
+def test_topics_and_sides_are_stored_at_once(spark, one_file, monkeypatch):
+    met = threading.Barrier(3, timeout=20)  # three are stored at the same time, or none
+    plain = session.materialised
+    monkeypatch.setattr(session, "materialised", lambda df, name: (met.wait(), plain(df, name))[1])
+    topics = feeds.stored(spark, one_file)
+    assert [df.columns for df in topics] == [feeds.clean(spark, one_file, t).columns for t in ("traffic", "weather", "air")]
+    rows = align.align_counted(*topics, 1440)
+    monkeypatch.undo()
+    assert rows.count() == align.align_counted(*[feeds.clean(spark, one_file, t) for t in ("traffic", "weather", "air")], 1440).count() > 0
