@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructType
 from cityweave import session
 from cityweave.operators import align, clean, cluster
 from cityweave.plans import jobs
-from workload import feeds
+from workload import feeds, queries
 
 
 def plan(df) -> str:
@@ -112,3 +112,10 @@ def test_topics_and_sides_are_stored_at_once(spark, one_file, monkeypatch):
     rows = align.align_counted(*topics, 1440)
     monkeypatch.undo()
     assert rows.count() == align.align_counted(*[feeds.clean(spark, one_file, t) for t in ("traffic", "weather", "air")], 1440).count() > 0
+
+
+@pytest.mark.parametrize("topic", ["traffic", "weather", "air"])
+def test_the_texts_of_a_clock_are_written_once(spark, one_file, topic):
+    for line in ("yyyy-MM-dd, ", "HH:mm:ss"):
+        written = [x for x in plan(feeds.clean(spark, one_file, topic)).splitlines() if f", {line}" in x and "to_json" not in x and "StructsToJson" not in x]
+        assert sum(x.count(f", {line}") for x in written) == 1
