@@ -119,3 +119,13 @@ def test_the_texts_of_a_clock_are_written_once(spark, one_file, topic):
     for line in ("yyyy-MM-dd, ", "HH:mm:ss"):
         written = [x for x in plan(feeds.clean(spark, one_file, topic)).splitlines() if f", {line}" in x and "to_json" not in x and "StructsToJson" not in x]
         assert sum(x.count(f", {line}") for x in written) == 1
+
+
+def test_labelled_rows_are_stored_for_training_only(spark, one_file, monkeypatch):
+    names, plain = [], feeds.materialised
+    monkeypatch.setattr(feeds, "materialised", lambda df, name: names.append(name) or plain(df, name))
+    once = queries.classify_pollution(spark, one_file)
+    assert names == []
+    stored = feeds.combined(spark, one_file)
+    assert names == ["combined"]
+    assert sorted(map(str, once.collect())) == sorted(map(str, stored.collect()))
